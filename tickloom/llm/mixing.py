@@ -23,7 +23,7 @@ BLOCK = 1024
 SLOTS = 1 << 20
 GOLDEN = 0.6180339887498949
 #: Documents of a source that meet in one task when their order is made; cells of slots.
-CELL_ROWS = 20_000
+CELL_ROWS = 2_000
 #: Cells of the unit interval by which slots meet sources.
 GRID = 4096
 

@@ -8,16 +8,37 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import common as C
 from .exact_dedup import exact_dedup
+from .fingerprints import fingerprint_edits
+from .licenses import license_scan
 from .mixing import mix_counts
+from .secrets import secret_digests
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(C.table(spark, sf_dir, "documents")).drop("row_no")
 
 
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_edits(C.table(spark, sf_dir, "documents"))
+
+
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(C.table(spark, sf_dir, "documents"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_counts(C.table(spark, sf_dir, "documents")).drop("row_no")
 
 
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_digests(C.table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_exact_dedup": op1_exact_dedup, "op7_mixing": op7_mixing}
+    return {
+        "op1_exact_dedup": op1_exact_dedup,
+        "op4_fingerprints": op4_fingerprints,
+        "op6_licenses": op6_licenses,
+        "op7_mixing": op7_mixing,
+        "op10_secrets": op10_secrets,
+    }

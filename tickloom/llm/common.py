@@ -120,3 +120,29 @@ def running_sum(df: DataFrame, group: list[str], cell: str, order: list[Column],
     within = F.coalesce(F.sum(value).over(inner), F.lit(0))
     joined = df.join(starts, same).drop(*[f"_k{i}" for i in range(len(group) + 1)])
     return joined.withColumn(out, (F.col("_start") + within).cast("long")).drop("_start")
+
+
+def open_fs(path: str):
+    """The file system of a shared path, and the path in it: for workers that write or read files of their own format."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(path if "://" in path else "file://" + path.removeprefix("file:"))
+
+
+def id_cells(df: DataFrame, rows: int, splitters: int = 255, most: int = 65536) -> Column:
+    """A number that ascends with doc_id and that about so many rows share; -1 for null. At most `most` cells in all.
+
+    Quantiles of the ids give ranges of equal weight, each cut into cells of equal width. Reads the ids alone.
+    """
+    ids = df.select(F.col("doc_id").cast("long").alias("doc_id"))
+    shares = [(i + 1) / (splitters + 1) for i in range(splitters)]
+    cuts, n, top = ids.agg(F.percentile_approx("doc_id", shares, 10000), F.count(F.lit(1)), F.max("doc_id")).first()
+    cuts = sorted(set(cuts or []))
+    fine = max(1, min(most // (splitters + 1), -(-n // (rows * (len(cuts) + 1)))))
+    stride = max(1, (len(cuts) + 1) * rows // max(n, 1)) if fine == 1 else 1
+    cuts = cuts[stride - 1 :: stride]  # small inputs need fewer ranges
+    above = F.array(*[F.lit(int(c)).cast("long") for c in [*cuts, (top or 0) + 1]])
+    at = F.size(F.filter(above, lambda c: c <= F.col("doc_id")))
+    left = F.when(at > 0, F.try_element_at(above, F.greatest(at, F.lit(1))))
+    part = F.floor((F.col("doc_id") - left) / F.greatest(F.try_element_at(above, at + 1) - left, F.lit(1)) * fine)
+    return F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(at * fine + F.coalesce(F.least(part, F.lit(fine - 1)), F.lit(0))).cast("long")

@@ -20,8 +20,8 @@ BITS = 64
 #: Two 32-bit counters to a long: bit i and bit i + 32 are counted by one sum.
 LANES = 0x0000000100000001
 LOW = 0xFFFFFFFF
-#: Documents to a cell of neighbours in id order; splitters of ids; cells at most (the broadcast of their heads has a row each).
-CELL_ROWS, SPLITTERS, MAX_CELLS = 4096, 255, 65536
+#: Documents to a cell of neighbours in id order; splitters of ids. The broadcast of the cells' heads has a row each, 65,536 at most.
+CELL_ROWS, SPLITTERS = 2048, 255
 
 
 def terms(text: Column) -> Column:
@@ -83,20 +83,9 @@ def with_next(docs: DataFrame) -> DataFrame:
     Ids are dealt into cells by quantiles; the first document of a cell is also put, as a guest, at the end of the cell
     before, so that a window over cells sees every neighbour. Texts are shuffled once.
     """
-    spark = docs.sparkSession
     rows = docs.select(F.monotonically_increasing_id().alias("row_no"), F.col("doc_id").cast("long").alias("doc_id"), C.text_of().alias("text"))
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
-    cuts, n, top = ids.agg(F.percentile_approx("doc_id", [(i + 1) / (SPLITTERS + 1) for i in range(SPLITTERS)], 10000), F.count(F.lit(1)), F.max("doc_id")).first()
-    cuts = sorted(set(cuts or []))
-    fine = max(1, min(MAX_CELLS // (SPLITTERS + 1), -(-n // (CELL_ROWS * (len(cuts) + 1)))))
-    # within a range, cells of equal width
-    lo = [*[c for c in cuts], (top or 0) + 1] if cuts else [0]
-    above = F.array(*[F.lit(int(c)).cast("long") for c in lo])
-    at = F.size(F.filter(above, lambda c: c <= F.col("doc_id")))
-    left = F.when(at == 0, F.lit(None)).otherwise(F.try_element_at(above, F.greatest(at, F.lit(1))))
-    right = F.try_element_at(above, at + 1)
-    part = F.floor((F.col("doc_id") - left) / F.greatest(right - left, F.lit(1)) * fine)
-    cell = F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(at * fine + F.coalesce(F.least(part, F.lit(fine - 1)), F.lit(0))).cast("long")
+    cell = C.id_cells(docs, CELL_ROWS, SPLITTERS)
     heads = ids.groupBy(cell.alias("cell")).agg(F.max("doc_id").alias("head"))
     order = Window.orderBy("cell")
     lowest = F.min("cell").over(Window.partitionBy())

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers as tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from . import bpe, idfiles
 from . import common as C
 from .exact_dedup import exact_dedup
 from .fingerprints import fingerprint_edits
@@ -22,6 +24,10 @@ def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_edits(C.table(spark, sf_dir, "documents"))
 
 
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(C.table(spark, sf_dir, "documents"), tokenizers.path("byte_bpe_multi_50k.tiktoken"), tokenizers.PATTERN)
+
+
 def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(C.table(spark, sf_dir, "documents"))
 
@@ -30,6 +36,11 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_counts(C.table(spark, sf_dir, "documents")).drop("row_no")
 
 
+def op9_idfiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, out = C.table(spark, sf_dir, "documents"), C.fresh_path(spark, "ids")
+    return idfiles.read_ids(idfiles.write_ids(docs, tokenizers.path("byte_bpe_50k.json"), tokenizers.PATTERN, out))
+
+
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_digests(C.table(spark, sf_dir, "documents"))
 
@@ -38,7 +49,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
         "op4_fingerprints": op4_fingerprints,
+        "op5_bpe": op5_bpe,
         "op6_licenses": op6_licenses,
         "op7_mixing": op7_mixing,
+        "op9_idfiles": op9_idfiles,
         "op10_secrets": op10_secrets,
     }

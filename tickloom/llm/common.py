@@ -14,6 +14,8 @@ SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 #: A key is hot if it holds at least one HOT-th of the rows, so there are at most HOT hot keys: a proven bound for a broadcast.
 HOT = 1000
+#: Rows of 16 bytes that are broadcast at most.
+FEW = 50_000
 
 _spools: list[tuple[SparkSession, str]] = []
 
@@ -81,6 +83,20 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(text, SPACE), lambda w: w != "")
 
 
+def text_key() -> Column:
+    """With doc_id, what a row is found by again in another reading of its table; equal for rows that repeat both."""
+    return F.xxhash64(F.length(text_of()), text_of())
+
+
+def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """docs without the rows whose (doc_id, key) is in dropped: by broadcast if those are few, else by a sort-merge join."""
+    gone = dropped.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"))
+    gone = F.broadcast(gone) if gone.count() <= FEW else gone.hint("merge")
+    marked = docs.withColumn("_mark", text_key())
+    same = marked["_mark"].eqNullSafe(gone["_key"]) & marked["doc_id"].cast("long").eqNullSafe(gone["_id"])
+    return marked.join(gone, same, "left_anti").drop("_mark")
+
+
 def hex64(value: Column) -> Column:
     return F.lower(F.lpad(F.hex(value), 16, "0"))
 

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 import public_tokenizers as tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import bpe, idfiles
 from . import common as C
@@ -14,12 +15,18 @@ from .fingerprints import fingerprint_edits
 from .licenses import license_scan
 from .mixing import mix_counts
 from .secrets import secret_digests
+from .simhash_vp import near_groups
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(C.table(spark, sf_dir, "documents")).drop("row_no")
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = near_groups(C.table(spark, sf_dir, "documents"))
+    return groups.select("doc_id", F.lower(F.hex("print")).alias("fingerprint"), "component_id")
+
+
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_edits(C.table(spark, sf_dir, "documents"))
 
@@ -48,6 +55,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
+        "op2_simhash": op2_simhash,
         "op4_fingerprints": op4_fingerprints,
         "op5_bpe": op5_bpe,
         "op6_licenses": op6_licenses,

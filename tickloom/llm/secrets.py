@@ -21,8 +21,6 @@ from . import common as C
 #: Strings of a run, alternatives of a query, characters of a class that are followed one by one. Beyond them a part of
 #: the query is left out: it then lets more documents through, never fewer.
 RUN, ALTERNATIVES, CLASS = 48, 64, 4
-#: Candidates, at 16 bytes each, that are broadcast at most; beyond, they are joined by a shuffle.
-BROADCAST_ROWS = 50_000
 
 
 @dataclass(frozen=True)
@@ -163,7 +161,7 @@ def scan(docs: DataFrame, rules=RULES) -> DataFrame:
     index = C.spool(postings(docs, needed).sortWithinPartitions("trigram", "doc_id"), "postings")
     few = C.spool(candidates(index, rules), "candidates")
     small = few.select(F.col("doc_id").alias("_id"), "kinds")
-    if few.count() <= BROADCAST_ROWS:
+    if few.count() <= C.FEW:
         small = F.broadcast(small)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), C.text_of().alias("text"))
     rows = rows.join(small, F.col("doc_id").eqNullSafe(F.col("_id")), "left")

@@ -8,7 +8,7 @@ import public_tokenizers as tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, idfiles
+from . import bpe, idfiles, toxicity, warc
 from . import common as C
 from .exact_dedup import exact_dedup
 from .fingerprints import fingerprint_edits
@@ -27,6 +27,10 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lower(F.hex("print")).alias("fingerprint"), "component_id")
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(C.table(spark, sf_dir, "pages"), C.fresh_path(spark, "warc"))
+
+
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_edits(C.table(spark, sf_dir, "documents"))
 
@@ -43,6 +47,12 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_counts(C.table(spark, sf_dir, "documents")).drop("row_no")
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = C.table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, C.table(spark, sf_dir, "labels"))
+    return toxicity.score_documents(docs, model).drop("key")
+
+
 def op9_idfiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, out = C.table(spark, sf_dir, "documents"), C.fresh_path(spark, "ids")
     return idfiles.read_ids(idfiles.write_ids(docs, tokenizers.path("byte_bpe_50k.json"), tokenizers.PATTERN, out))
@@ -56,10 +66,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
         "op2_simhash": op2_simhash,
+        "op3_warc": op3_warc,
         "op4_fingerprints": op4_fingerprints,
         "op5_bpe": op5_bpe,
         "op6_licenses": op6_licenses,
         "op7_mixing": op7_mixing,
+        "op8_toxicity": op8_toxicity,
         "op9_idfiles": op9_idfiles,
         "op10_secrets": op10_secrets,
     }

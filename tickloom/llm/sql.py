@@ -10,6 +10,15 @@ SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION B
 FROM d WINDOW w AS (PARTITION BY h ORDER BY n DESC, doc_id)
 """
 
+OP3 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+q AS (SELECT page_id, octet_length(encode(h)) AS n, sha1(h) AS d FROM p),
+r AS (SELECT *, max(page_id) OVER (PARTITION BY d) AS top FROM q)
+SELECT page_id, n AS payload_bytes, d AS payload_digest, CASE WHEN n >= 1000 AND page_id <> top THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= 1000 AND page_id <> top THEN top END AS refers_to
+FROM r
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": OP1}
+    return {"op1_exact_dedup": OP1, "op3_warc": OP3}

@@ -13,6 +13,7 @@ import json
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -30,7 +31,7 @@ LEVEL = 1
 END = 0
 #: Documents to a file.
 FILE_DOCS = 4096
-#: Texts that are encoded together.
+#: Texts that are Python objects at a time.
 TOGETHER = 512
 
 
@@ -139,44 +140,31 @@ class Reader:
             at += n
 
 
-def library_encoder(path: str, pattern: str) -> Callable[[list[str]], list[np.ndarray]]:
-    """Texts to ids by the tokenizers library. Matches of the pattern are tokenized one by one in any case, so those of all
-    texts at hand that aren't remembered go to the library in one call, a match to a line."""
+def byte_letters() -> dict[int, str]:
+    """Byte-level vocabularies write a byte as the Latin-1 character if that is printable, the rest as 256 and up in order."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+def library_encoder(path: str, pattern: str) -> Callable[[str], np.ndarray]:
+    """A text to ids by the tokenizers library. Matches of the pattern are tokenized one by one in any case, so the library's
+    model gets each that isn't remembered by itself."""
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     kind = np.dtype("<u2") if tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
-    plain = lambda text: np.array(tokenizer.encode(text, add_special_tokens=False).ids, kind)
-    lines = plain("\n")
-
-    def many(pieces: list[str]) -> list[bytes]:
-        out: dict[str, bytes] = {}
-        single = [p for p in pieces if "\n" in p or p.isspace()] if len(lines) == 1 else pieces
-        for p in single:
-            out[p] = plain(p).tobytes()
-        rest = [p for p in pieces if p not in out]
-        if rest:
-            ids = np.array(tokenizer.encode_batch_fast(["\n".join(rest)], add_special_tokens=False)[0].ids, kind)
-            ends = np.flatnonzero(ids == lines[0]).tolist()
-            data, w, at = ids.tobytes(), kind.itemsize, 0
-            if len(ends) != len(rest) - 1:
-                raise ValueError("the tokenizer's line ends aren't tokens of their own")
-            for p, end in zip(rest, [*ends, len(ids)], strict=True):
-                out[p] = data[at * w : end * w]
-                at = end + 1
-        return [out[p] for p in pieces]
-
-    chunks = Chunks(pattern, lambda p: plain(p).tobytes())
-
-    def encode(texts: list[str]) -> list[np.ndarray]:
-        chunks.prepare(texts, many)
-        return [np.frombuffer(chunks.ids(t), kind) for t in texts]
-
-    return encode
+    letters, code = byte_letters(), "H" if kind.itemsize == 2 else "I"
+    tokenize = tokenizer.model.tokenize
+
+    def piece(match: str) -> bytes:
+        return array(code, [t.id for t in tokenize(match.encode().decode("latin-1").translate(letters))]).tobytes()
+
+    ids = Chunks(pattern, piece).ids
+    return lambda text: np.frombuffer(ids(text), kind)
 
 
 def write_ids(docs: DataFrame, path: str, pattern: str, out: str, bits: bool = False, file_docs: int = FILE_DOCS) -> DataFrame:
@@ -205,7 +193,8 @@ def write_ids(docs: DataFrame, path: str, pattern: str, out: str, bits: bool = F
         for batch in batches:
             for i in range(0, batch.num_rows, TOGETHER):
                 part = batch.slice(i, TOGETHER).to_pydict()
-                for c, doc_id, ids in zip(part["cell"], part["doc_id"], encode(part["text"]), strict=True):
+                for c, doc_id, text in zip(part["cell"], part["doc_id"], part["text"], strict=True):
+                    ids = encode(text)
                     if writer is None or c != now:
                         if writer is not None:
                             yield closed()

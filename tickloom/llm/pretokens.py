@@ -12,7 +12,9 @@ from collections.abc import Callable
 import regex
 
 #: Chunks remembered by a generation; two generations are held, so memory is bounded whatever the texts.
-GENERATION = 150_000
+GENERATION = 250_000
+#: Marks that end a chunk often.
+MARKS = frozenset(".,;:!?")
 
 
 class Memory:
@@ -44,8 +46,12 @@ class Chunks:
         self.chunks = Memory(self._chunk)
 
     def _chunk(self, chunk: str) -> bytes | None:
+        if chunk.isalpha():  # letters after a blank are one match
+            return self.pieces.young[" " + chunk]
         if not chunk or chunk[0].isspace() or chunk[-1].isspace():
             return None
+        if chunk[-1] in MARKS and chunk[:-1].isalpha():  # and so is a mark after them
+            return self.pieces.young[" " + chunk[:-1]] + self.pieces.young[chunk[-1]]
         return self._join(" " + chunk)
 
     def _join(self, text: str) -> bytes:
@@ -62,21 +68,3 @@ class Chunks:
             return self._join(first) + b"".join(map(self.chunks.young.__getitem__, rest))
         except TypeError:  # a marked chunk
             return self._join(text)
-
-    def prepare(self, texts: list[str], many: Callable[[list[str]], list[bytes]], at_once: int = 4096) -> None:
-        """Ask for the pieces of these texts that aren't remembered in large calls, before they are asked for one by one."""
-        self.pieces.settle()
-        self.chunks.settle()
-        wanted: set[str] = set()
-        for text in texts:
-            wanted.update(text.split(" "))
-        known, before = self.chunks.young, self.chunks.old
-        seen, older = self.pieces.young, self.pieces.old
-        find, missing = self.find, set()
-        for chunk in wanted:
-            if chunk not in known and chunk not in before:
-                missing.update(p for p in find(" " + chunk) if p not in seen and p not in older)
-        parts = list(missing)
-        for i in range(0, len(parts), at_once):
-            some = parts[i : i + at_once]
-            seen.update(zip(some, many(some), strict=True))

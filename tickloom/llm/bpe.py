@@ -15,6 +15,7 @@ import codecs
 import hashlib
 from array import array
 from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -159,26 +160,19 @@ class Decoder:
         tokens = {r: t for t, r in load_ranks(path).items()}
         self.tokens = [tokens.get(i, b"") for i in range(max(tokens, default=-1) + 1)]
 
-    def blocks(self, ids: Iterable[int]) -> Iterator[bytes]:
-        block: list[int] = []
-        for i in ids:
-            block.append(i)
-            if len(block) == DECODE_BLOCK:
-                yield b"".join(map(self.tokens.__getitem__, block))
-                block = []
-        yield b"".join(map(self.tokens.__getitem__, block))
+    def data(self, ids: Iterable[int]) -> Iterator[bytes]:
+        """The bytes, a block of ids at a time."""
+        arriving = iter(ids)
+        while block := list(islice(arriving, DECODE_BLOCK)):
+            yield b"".join(map(self.tokens.__getitem__, block))
 
     def stream(self, ids: Iterable[int]) -> Iterator[str]:
         """The text piece by piece; bytes that aren't UTF-8 become U+FFFD, as bytes.decode does it for the whole."""
         machine = Utf8()
-        for part in self.blocks(ids):
+        for part in self.data(ids):
             yield machine.feed(part)
         yield machine.end()
 
-    def data(self, ids: array) -> Iterator[bytes]:
-        for i in range(0, len(ids), DECODE_BLOCK):
-            yield b"".join(map(self.tokens.__getitem__, ids[i : i + DECODE_BLOCK]))
-
 
 class Utf8:
     """An incremental UTF-8 machine. Its state is the beginning of a character that the bytes so far leave unfinished."""
@@ -227,16 +221,23 @@ def _texts(batch: pa.RecordBatch, column: str = "text") -> Iterator[str]:
 
 
 def encode_documents(docs: DataFrame, path: str, pattern: str, extra: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, extra columns and ids (little-endian 32-bit integers, in bytes): a row per document."""
+    """doc_id, extra columns, n_tokens, ids (little-endian 32-bit integers, in bytes) and exact: do the ids decode to the text?"""
     kept = [F.col("doc_id").cast("long").alias("doc_id"), *[F.col(c) for c in extra]]
     rows = docs.select(*kept, F.coalesce("text", F.lit("")).alias("text"))
-    schema = rows.drop("text").schema.add("ids", "binary")
+    schema = rows.drop("text").schema.add("n_tokens", "long").add("ids", "binary").add("exact", "boolean")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = Encoder(path, pattern).encode
+        encode, decoder = Encoder(path, pattern).encode, Decoder(path)
         for batch in batches:
-            ids = pa.array([encode(t) for t in _texts(batch)], pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], ids], [*batch.schema.names[:-1], "ids"])
+            counts, data, exact = [], [], []
+            for text in _texts(batch):
+                own = encode(text)
+                ids = array("I", own)
+                counts.append(len(ids))
+                data.append(own)
+                exact.append("".join(decoder.stream(ids)) == text)
+            new = [pa.array(counts, pa.int64()), pa.array(data, pa.binary()), pa.array(exact, pa.bool_())]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *new], [*batch.schema.names[:-1], "n_tokens", "ids", "exact"])
 
     return rows.mapInArrow(run, schema)
 

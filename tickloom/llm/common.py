@@ -88,13 +88,23 @@ def text_key() -> Column:
     return F.xxhash64(F.length(text_of()), text_of())
 
 
-def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """docs without the rows whose (doc_id, key) is in dropped: by broadcast if those are few, else by a sort-merge join."""
-    gone = dropped.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"))
-    gone = F.broadcast(gone) if gone.count() <= FEW else gone.hint("merge")
+def matching(docs: DataFrame, decided: DataFrame, how: str) -> DataFrame:
+    """docs joined to decided by (doc_id, key): by broadcast if that is FEW rows at most, else by a sort-merge join. Rows that
+    repeat both are one key, so each key may be in decided once."""
+    own = decided.withColumnsRenamed({"doc_id": "_id", "key": "_key"})
+    own = F.broadcast(own) if own.count() <= FEW else own.hint("merge")
     marked = docs.withColumn("_mark", text_key())
-    same = marked["_mark"].eqNullSafe(gone["_key"]) & marked["doc_id"].cast("long").eqNullSafe(gone["_id"])
-    return marked.join(gone, same, "left_anti").drop("_mark")
+    same = marked["_mark"].eqNullSafe(own["_key"]) & marked["doc_id"].cast("long").eqNullSafe(own["_id"])
+    return marked.join(own, same, how).drop("_id", "_key")
+
+
+def keep(docs: DataFrame, decided: DataFrame) -> DataFrame:
+    """The rows of docs that decided (doc_id, key, kept) keeps. Of rows that repeat an id and a text one stays if any is kept."""
+    per = spool(decided.groupBy("doc_id", "key").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n")), "decided")
+    out = matching(docs, per.where(~F.col("kept")).select("doc_id", "key"), "left_anti")
+    if per.where("kept and n > 1").limit(1).count():
+        out = out.dropDuplicates(["doc_id", "_mark"])
+    return out.drop("_mark")
 
 
 def hex64(value: Column) -> Column:

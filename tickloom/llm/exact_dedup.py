@@ -21,11 +21,12 @@ BUCKET_ROWS = 2_000_000
 
 
 def digests(docs: DataFrame) -> DataFrame:
-    """row_no, doc_id, n_points (code points of the original) and the SHA-256 of the normalised text: the only use of texts."""
+    """row_no, doc_id, key, n_points (code points of the original) and the SHA-256 of the normalised text: the only use of texts."""
     text = C.text_of()
     return docs.select(
         F.monotonically_increasing_id().alias("row_no"),
         F.col("doc_id").cast("long").alias("doc_id"),
+        C.text_key().alias("key"),
         F.length(text).cast("long").alias("n_points"),
         F.unhex(F.sha2(F.regexp_replace(text, C.SPACE, "").cast("binary"), 256)).alias("digest"),
     )
@@ -80,6 +81,7 @@ class DigestIndex:
             F.coalesce(F.col("row_no") == F.col("keep_row"), F.lit(False)).alias("kept"),
             F.lower(F.hex("digest")).alias("text_sha256"),
             "row_no",
+            "key",
         )
 
 

@@ -29,9 +29,9 @@ GRID = 4096
 
 
 def sized(docs: DataFrame) -> DataFrame:
-    """row_no, doc_id, source, size: all that is kept of the texts."""
+    """row_no, doc_id, key, source, size: all that is kept of the texts."""
     return docs.select(
-        F.monotonically_increasing_id().alias("row_no"), F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), C.n_words(C.text_of()).alias("size")
+        F.monotonically_increasing_id().alias("row_no"), F.col("doc_id").cast("long").alias("doc_id"), C.text_key().alias("key"), F.col("source").cast("string").alias("source"), C.n_words(C.text_of()).alias("size")
     )
 
 
@@ -87,11 +87,10 @@ def mix(rows: DataFrame, targets: DataFrame, words: int) -> DataFrame:
     block = max(1, min(BLOCK, words // SLOTS))
     slots = int(round(SHARE * words / block))
     plan = schedule(targets, slots)
-    key = F.xxhash64("doc_id", "size")
     docs = rows.where("size > 0").join(targets.select("source", "rank", "source_size", "n_docs").withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
     cells = F.greatest(F.lit(1), F.ceil(F.col("n_docs") / CELL_ROWS))
-    docs = docs.withColumn("key", key).withColumn("cell", F.pmod(F.shiftright("key", 20), cells))
-    docs = C.running_sum(docs.select("row_no", "doc_id", "size", "source_size", "rank", "key", "cell"), ["rank"], "cell", [F.col("key"), F.col("doc_id"), F.col("row_no")], "size", "start")
+    docs = docs.withColumn("place", F.xxhash64("doc_id", "size")).withColumn("cell", F.pmod(F.shiftright("place", 20), cells))
+    docs = C.running_sum(docs.select("row_no", "doc_id", "size", "source_size", "rank", "place", "cell"), ["rank"], "cell", [F.col("place"), F.col("doc_id"), F.col("row_no")], "size", "start")
     parts = docs.withColumn("block", F.explode(F.sequence(F.floor(F.col("start") / block), F.floor((F.col("start") + F.col("size") - 1) / block))))
     lo = F.greatest(F.col("block") * block, F.col("start")) - F.col("start")
     hi = F.least((F.col("block") + 1) * block, F.col("start") + F.col("size")) - F.col("start")
@@ -103,11 +102,19 @@ def mix(rows: DataFrame, targets: DataFrame, words: int) -> DataFrame:
 
 
 def mix_counts(docs: DataFrame) -> DataFrame:
-    """row_no, doc_id, size, source_size, target, taken: a row per document; taken counts repeated words again."""
+    """row_no, doc_id, key, size, source_size, target, taken: a row per document; taken counts repeated words again."""
     rows = C.spool(sized(docs), "sizes")
     targets = C.spool(source_targets(rows), "targets")
     words = rows.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     took = mix(rows, targets, words).groupBy("row_no").agg(F.sum(F.col("to_word") - F.col("from_word")).alias("taken"))
     same = targets.select(F.col("source").alias("_s"), "source_size", "target")
     out = rows.join(same, F.col("source").eqNullSafe(F.col("_s"))).join(took, "row_no", "left")
-    return out.select("row_no", "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+    return out.select("row_no", "doc_id", "key", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+
+
+def resample(docs: DataFrame) -> DataFrame:
+    """docs mixed: a document is there as often as the mix takes it, rounded (0 to MAX_PASSES times), with all its columns."""
+    counts = mix_counts(docs).groupBy("doc_id", "key").agg((F.sum("taken") / F.greatest(F.sum("size"), F.lit(1))).alias("share"))
+    times = C.spool(counts.select("doc_id", "key", F.floor(F.col("share") + 0.5).cast("int").alias("_times")), "times")
+    joined = C.matching(docs, times.where("_times > 0"), "inner")
+    return joined.withColumn("_nth", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)

@@ -19,7 +19,7 @@ from .simhash_vp import near_groups
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup(C.table(spark, sf_dir, "documents")).drop("row_no")
+    return exact_dedup(C.table(spark, sf_dir, "documents")).drop("row_no", "key")
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,13 +44,13 @@ def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix_counts(C.table(spark, sf_dir, "documents")).drop("row_no")
+    return mix_counts(C.table(spark, sf_dir, "documents")).drop("row_no", "key")
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = C.table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, C.table(spark, sf_dir, "labels"))
-    return toxicity.score_documents(docs, model).drop("key")
+    return toxicity.score_documents(docs, model)
 
 
 def op9_idfiles(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import common as C
 from .pretokens import Memory
 
 #: Labelled rows that are learned from, at most (about; they are chosen by a hash of their ids), and learned entries at most.
@@ -238,8 +239,6 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
-    from . import common as C
-
     rows = C.spool(training(docs, labels), "labelled")
     counts = {r.toxic: r["count"] for r in rows.groupBy("toxic").count().collect()}
     positives, negatives = counts.get(1, 0), counts.get(0, 0)
@@ -260,15 +259,26 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
 
 
 def score_documents(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, key (of the text), held_out, score, predicted: a row per document; texts aren't shuffled."""
-    from . import common as C
+    """doc_id, held_out, score, predicted: a row per document; texts aren't shuffled."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), C.text_of().alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(model)
+        for batch in batches:
+            scores = [scorer.score(t.as_py()) for t in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(scores, pa.float64()), pa.array([int(s >= 0.5) for s in scores], pa.int32())], ["doc_id", "held_out", "score", "predicted"])
+
+    return rows.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
+
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), C.text_key().alias("key"), held_out(F.col("doc_id")).alias("held_out"), C.text_of().alias("text"))
+def accepted(docs: DataFrame, model: Model) -> DataFrame:
+    """docs, all columns, without those that score 0.5 or more: one pass, no join."""
+    names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model)
         for batch in batches:
-            scores = [scorer.score(t.as_py()) for t in batch.column(3)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(scores, pa.float64()), pa.array([int(s >= 0.5) for s in scores], pa.int32())], ["doc_id", "key", "held_out", "score", "predicted"])
+            at = batch.schema.get_field_index("text")
+            yield batch.filter(pa.array([scorer.score(t.as_py() or "") < 0.5 for t in batch.column(at)], pa.bool_()))
 
-    return rows.mapInArrow(run, "doc_id long, key long, held_out boolean, score double, predicted int")
+    return docs.select(*names).mapInArrow(run, docs.schema)

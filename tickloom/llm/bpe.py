@@ -15,6 +15,7 @@ import codecs
 import hashlib
 from array import array
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 from itertools import islice
 
 import pyarrow as pa
@@ -214,6 +215,12 @@ class Utf8:
         return codecs.decode(rest, "utf-8", "replace")
 
 
+@lru_cache(maxsize=2)
+def coder(path: str, pattern: str) -> tuple[Encoder, Decoder]:
+    """A worker keeps its automaton from task to task."""
+    return Encoder(path, pattern), Decoder(path)
+
+
 def _texts(batch: pa.RecordBatch, column: str = "text") -> Iterator[str]:
     """The texts of a batch one by one; null is empty."""
     for value in batch.column(batch.schema.get_field_index(column)):
@@ -221,13 +228,17 @@ def _texts(batch: pa.RecordBatch, column: str = "text") -> Iterator[str]:
 
 
 def encode_documents(docs: DataFrame, path: str, pattern: str, extra: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, extra columns, n_tokens, ids (little-endian 32-bit integers, in bytes) and exact: do the ids decode to the text?"""
+    """doc_id, extra columns, n_tokens, ids (little-endian 32-bit integers, in bytes) and exact: do the ids decode to the text?
+
+    An extra column of one of these names is left out."""
+    extra = tuple(c for c in extra if c not in ("doc_id", "n_tokens", "ids", "exact"))
     kept = [F.col("doc_id").cast("long").alias("doc_id"), *[F.col(c) for c in extra]]
     rows = docs.select(*kept, F.coalesce("text", F.lit("")).alias("text"))
     schema = rows.drop("text").schema.add("n_tokens", "long").add("ids", "binary").add("exact", "boolean")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, decoder = Encoder(path, pattern).encode, Decoder(path)
+        encoder, decoder = coder(path, pattern)
+        encode = encoder.encode
         for batch in batches:
             counts, data, exact = [], [], []
             for text in _texts(batch):
@@ -247,7 +258,8 @@ def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, decoder = Encoder(path, pattern).encode, Decoder(path)
+        encoder, decoder = coder(path, pattern)
+        encode = encoder.encode
         for batch in batches:
             counts, first, second = [], [], []
             for text in _texts(batch):

@@ -15,6 +15,7 @@ import uuid
 import zlib
 from array import array
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -147,9 +148,10 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
+@lru_cache(maxsize=2)
 def library_encoder(path: str, pattern: str) -> Callable[[str], np.ndarray]:
     """A text to ids by the tokenizers library. Matches of the pattern are tokenized one by one in any case, so the library's
-    model gets each that isn't remembered by itself."""
+    model gets each that isn't remembered by itself. A worker keeps what it remembers from task to task."""
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"

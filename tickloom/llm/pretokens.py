@@ -12,7 +12,7 @@ from collections.abc import Callable
 import regex
 
 #: Chunks remembered by a generation; two generations are held, so memory is bounded whatever the texts.
-GENERATION = 250_000
+GENERATION = 300_000
 #: Marks that end a chunk often.
 MARKS = frozenset(".,;:!?")
 

@@ -18,14 +18,14 @@ ZERO_SHARE = 0.15
 def detect_encoding(head: bytes) -> str:
     """By mark; then by the share of zero bytes (UTF-16, by the side they are on); then UTF-8 if it decodes; else cp1252.
 
-    A character that the end of the head cuts off doesn't count against UTF-8."""
+    A character that the end of a full head cuts off doesn't count against UTF-8."""
     for mark, name in MARKS:
         if head.startswith(mark):
             return name
     if head and head.count(0) / len(head) > ZERO_SHARE:
         return "utf-16-le" if head[1::2].count(0) >= head[0::2].count(0) else "utf-16-be"
     try:
-        codecs.getincrementaldecoder("utf-8")("strict").decode(head, final=False)
+        codecs.getincrementaldecoder("utf-8")("strict").decode(head, final=len(head) < HEAD)
         return "utf-8"
     except UnicodeDecodeError:
         return "cp1252"

@@ -1,0 +1 @@
+"""Bars from quotes that keep arriving."""

@@ -54,7 +54,8 @@ class Over:
     # kernels
 
     def zscore(self, x: Column, rows: int) -> Column:
-        return div(x - self.mean(x, rows), self.std(x, rows))
+        frame = self.back(rows)
+        return F.when(F.count(x).over(frame) >= rows, div(x - F.avg(x).over(frame), F.stddev_samp(x).over(frame)))
 
     def range_position(self, x: Column, rows: int) -> Column:
         low, high = self.least(x, rows), self.most(x, rows)

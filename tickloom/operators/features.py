@@ -85,7 +85,7 @@ def compute(bars: DataFrame, config: FeatureConfig, drop_first: bool = True) ->
     """
     require(bars, [*KEYS, "start_time", "end_time", *PRICES, "spread_mean", "ticks"])
     wins, over = config.windows, K.Over(BLOCK)
-    laid = with_halo(bars.select(*KEYS, "start_time", "end_time", *PRICES, "spread_mean", "ticks"), config.block_rows, before=config.halo)
+    laid = with_halo(bars.select(*KEYS, "start_time", "end_time", *PRICES, "spread_mean", "ticks"), config.block_rows, before=config.halo, spread=True)
     s = base_features(laid, over)
     close, lc, spread, ticks = F.col("close"), F.col("_lc"), F.col("spread_mean"), F.col("ticks")
     for name, w in wins.items():

@@ -3,16 +3,22 @@
 from __future__ import annotations
 
 import math
+import pickle
+from collections.abc import Iterator
+from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import FeatureConfig
-from ..functions.safe import INF, clip, lit
+from ..functions.safe import clip
 from .features import BASE, KEYS
 from .layout import nearest_quantiles
 
 NUMERIC = {"double", "float", "bigint", "int"}
+#: Parts of the moments of a sample.
+PARTS = 32
 #: What a feature's name adds to its score.
 ENDINGS = (("_z", 0.05), ("_pct", 0.02))
 SHORT = ("_1", "_per_ms")
@@ -70,19 +76,83 @@ def feature_score(name: str, variance: float, null_rate: float) -> float:
     return score + (0.03 if name.startswith(FAVOURED) else 0.0)
 
 
+@dataclass
+class Moments:
+    """Of a table's columns: rows, null rates, sample variances of values, and with gaps as 0 deviations and the Pearson matrix."""
+
+    columns: list[str]
+    rows: int
+    null_rate: dict[str, float]
+    variance: dict[str, float]
+    deviation: dict[str, float]
+    matrix: np.ndarray
+
+
+class _Sums:
+    """Counts, means and co-moments of rows of numbers; two can be merged, so parts are centred before they are multiplied."""
+
+    def __init__(self, x: np.ndarray):
+        there = ~np.isnan(x)
+        self.n, self.there = len(x), there.sum(axis=0).astype(float)
+        filled = np.where(there & np.isfinite(x), x, 0.0)
+        self.mean = filled.mean(axis=0) if len(x) else np.zeros(x.shape[1])
+        centred = filled - self.mean
+        self.co = centred.T @ centred
+        held = np.maximum(self.there, 1)
+        self.own = filled.sum(axis=0) / held
+        self.square = (np.where(there, filled - self.own, 0.0) ** 2).sum(axis=0)
+
+    def merge(self, other: _Sums) -> _Sums:
+        n = self.n + other.n
+        if not self.n or not other.n:
+            return self if self.n else other
+        gap = other.mean - self.mean
+        self.co = self.co + other.co + np.outer(gap, gap) * (self.n * other.n / n)
+        self.mean = self.mean + gap * (other.n / n)
+        there = self.there + other.there
+        step = other.own - self.own
+        held = np.maximum(there, 1)
+        self.square = self.square + other.square + step**2 * (self.there * other.there / held)
+        self.own = self.own + step * (other.there / held)
+        self.n, self.there = n, there
+        return self
+
+
+def moments(df: DataFrame, columns: list[str]) -> Moments:
+    """One pass over a bounded sample. A part is as many bytes as the matrix; PARTS of them come to the driver at most."""
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        total = _Sums(np.zeros((0, len(columns))))
+        for batch in batches:
+            if batch.num_rows:
+                total = total.merge(_Sums(np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])))
+        yield pa.RecordBatch.from_pydict({"part": pa.array([pickle.dumps(total)], pa.binary())})
+
+    if not columns:
+        return Moments([], 0, {}, {}, {}, np.zeros((0, 0)))
+    rows = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    total = _Sums(np.zeros((0, len(columns))))
+    for r in rows.coalesce(PARTS).mapInArrow(run, "part binary").collect():
+        total = total.merge(pickle.loads(r.part))
+    n, deviation = max(total.n, 1), np.sqrt(np.maximum(np.diag(total.co), 0) / max(total.n, 1))
+    deviation = np.where(deviation > 1e-12 * np.abs(total.mean), deviation, 0.0)  # what rounding leaves of a constant is none
+    scale = np.outer(deviation, deviation) * n
+    matrix = np.divide(total.co, scale, out=np.zeros_like(total.co), where=scale > 0)
+    variance = np.divide(total.square, total.there - 1, out=np.zeros_like(total.square), where=total.there > 1)
+    named = lambda v: dict(zip(columns, (float(x) for x in v)))
+    return Moments(columns, total.n, named(1 - total.there / n), named(variance), named(deviation), matrix)
+
+
 def correlation(df: DataFrame, columns: list[str]) -> tuple[list[str], list[list[float]]]:
     """(columns that vary, their Pearson matrix). Null, NaN and infinity count as 0."""
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.stat import Correlation
+    return _varying(moments(df, columns))
+
 
-    filled = df.select(*[F.coalesce(F.when(~F.isnan(F.col(c).cast("double")) & (F.abs(c) < INF), F.col(c).cast("double")), lit(0)).alias(c) for c in columns])
-    spread = filled.agg(*[F.stddev_pop(c).alias(c) for c in columns]).first() if columns else {}
-    moving = [c for c in columns if spread[c] is not None and spread[c] > 0]
-    if len(moving) < 2:
-        return moving, [[1.0]] * len(moving)
-    vectors = VectorAssembler(inputCols=moving, outputCol="_v").transform(filled).select("_v")
-    matrix = Correlation.corr(vectors, "_v").first()[0].toArray()
-    return moving, [[0.0 if math.isnan(x) else float(x) for x in row] for row in matrix]
+def _varying(m: Moments) -> tuple[list[str], list[list[float]]]:
+    at = [i for i, c in enumerate(m.columns) if m.deviation[c] > 0]
+    return [m.columns[i] for i in at], m.matrix[np.ix_(at, at)].tolist()
 
 
 def greedy_prune(names: list[str], matrix: list[list[float]], scores: dict[str, float], threshold: float) -> list[str]:
@@ -108,9 +178,9 @@ def corr_prune(df: DataFrame, threshold: float, protect: list[str]) -> list[str]
     candidates = numeric_columns(df, protect)
     if len(candidates) <= 1:
         return [*protect, *candidates]
-    names, matrix = correlation(df, candidates)
-    nulls, variances = null_rates_and_variances(df, names)
-    return [*protect, *greedy_prune(names, matrix, {c: feature_score(c, variances[c], nulls[c]) for c in names}, threshold)]
+    m = moments(df, candidates)
+    names, matrix = _varying(m)
+    return [*protect, *greedy_prune(names, matrix, {c: feature_score(c, m.variance[c], m.null_rate[c]) for c in names}, threshold)]
 
 
 def fit(features: DataFrame, config: FeatureConfig) -> dict:
@@ -125,10 +195,9 @@ def fit(features: DataFrame, config: FeatureConfig) -> dict:
     bounds = {r.column: (r.low, r.high) for r in clip_bounds(for_bounds, columns, config.clip_low, config.clip_high).collect()}
     for_corr = fit_blocks(shifted, fit_rows, config.fit_blocks, per(config.corr_sample_rows), config.distinct_blocks).drop("block")
     selected = corr_prune(clip_select(for_corr, for_corr.columns, bounds).drop("series_id", "row_id"), config.corr_threshold, list(BASE))
-    nulls, _ = null_rates_and_variances(for_corr, columns)
     return {
         "version": "1.2", "windows": config.windows, "fit_rows": fit_rows, "total_rows": rows[0], "corr_threshold": config.corr_threshold, "clip": [config.clip_low, config.clip_high],
-        "bounds": {c: list(b) for c, b in bounds.items()}, "selected": selected, "qa": {"null_rate": nulls},
+        "bounds": {c: list(b) for c, b in bounds.items()}, "selected": selected, "qa": {"null_rate": moments(for_corr, columns).null_rate},
     }
 
 

@@ -35,8 +35,9 @@ def row_index(df: DataFrame, by: list[str], series: str = "series_id", out: str
     return joined.withColumn(out, (F.col("_start") + within).cast("long")).drop("_cell", "_s", "_c", "_start")
 
 
-def with_halo(df: DataFrame, block_rows: int | None, before: int = 0, after: int = 0) -> DataFrame:
-    """_block and _own: each row in its block, and as a guest (_own false) in the blocks whose frames reach it.
+def with_halo(df: DataFrame, block_rows: int | None, before: int = 0, after: int = 0, spread: bool = False) -> DataFrame:
+    """_block and _own: each row in its block, and as a guest (_own false) in the blocks whose frames reach it. spread: deal the
+    blocks to all shuffle partitions, however small they are, for windows that cost far more than their bytes suggest.
 
     Windows partitioned by (series_id, _block) then see `before` rows before and `after` rows behind each own row. Drop the
     guests with own_rows(). Copies are (before + after) / block_rows of the rows.
@@ -48,7 +49,8 @@ def with_halo(df: DataFrame, block_rows: int | None, before: int = 0, after: int
     block = F.floor(F.col("row_id") / block_rows)
     first = F.floor(F.greatest(F.col("row_id") - after, F.lit(0)) / block_rows)
     last = F.floor((F.col("row_id") + before) / block_rows)
-    return df.withColumn("_block", F.explode(F.sequence(first, last))).withColumn("_own", F.col("_block") == block)
+    laid = df.withColumn("_block", F.explode(F.sequence(first, last))).withColumn("_own", F.col("_block") == block)
+    return laid.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *BLOCK) if spread else laid
 
 
 def own_rows(df: DataFrame) -> DataFrame:

@@ -37,7 +37,7 @@ def test_transducer(lib, monkeypatch):
     own = bpe.Encoder(MULTI, P.PATTERN).encode
     for t in texts():
         assert list(array("I", own(t))) == lib.encode_ordinary(t)
-    monkeypatch.setattr(bpe, "STATES", 50)  # the automaton dropped again and again
+    monkeypatch.setattr(bpe, "STATES", 50)  # nearly all states made for the moment
     small = bpe.Encoder(MULTI, P.PATTERN).encode
     for t in texts(50):
         assert list(array("I", small(t))) == lib.encode_ordinary(t)

@@ -15,19 +15,21 @@ import codecs
 import hashlib
 from array import array
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import common as C
 from .pretokens import Chunks
 
-#: States held at most; beyond them the automaton is dropped and grows anew.
-STATES = 150_000
+#: States held at most, those met first, so all frequent ones; beyond them a state is made again when it is needed.
+STATES = 80_000
 #: Pairs of tokens held at most of which it is known whether they can be neighbours.
-PAIRS = 400_000
+PAIRS = 200_000
+#: Chunks and matches remembered, by a generation.
+REMEMBERED = (200_000, 40_000)
 #: Ids decoded at a time.
 DECODE_BLOCK = 4096
 
@@ -70,9 +72,6 @@ class Transducer:
         self.ranks = ranks
         self.code = {t: array("I", [r]).tobytes() for t, r in ranks.items()}
         self.beginnings = {t[:i] for t in ranks for i in range(1, len(t))}
-        self._reset()
-
-    def _reset(self) -> None:
         self.start = State(b"", (b"",), (1,))
         self.states = {(b"", (b"",)): self.start}
         self.pairs: dict[tuple[bytes, bytes], bool] = {}
@@ -81,7 +80,9 @@ class Transducer:
         """Does BPE keep these two tokens apart when they stand together? (A token sequence is BPE's if all its neighbours do.)"""
         found = self.pairs.get((last, token))
         if found is None:
-            found = self.pairs[last, token] = merge(self.ranks, last + token) == ([last, token] if last else [token])
+            found = merge(self.ranks, last + token) == ([last, token] if last else [token])
+            if len(self.pairs) < PAIRS:
+                self.pairs[last, token] = found
         return found
 
     def _emit(self, ends: tuple[bytes, ...], at: int) -> bytes:
@@ -104,7 +105,8 @@ class Transducer:
             arc = (*self._to(state, pending, pending), pending, other)
         else:
             arc = (*other, None, None)
-        state.arcs[byte] = arc
+        if len(self.states) < STATES:  # else made for the moment
+            state.arcs[byte] = arc
         return arc
 
     def _to(self, state: State, pending: bytes, token: bytes) -> tuple[bytes, State, bytes]:
@@ -121,15 +123,15 @@ class Transducer:
         key = (pending[cut:], kept)
         to = self.states.get(key)
         if to is None:
-            to = self.states[key] = State(*key, tuple(c >> cut | 1 for c in chains[cut:]))
+            to = State(*key, tuple(c >> cut | 1 for c in chains[cut:]))
+            if len(self.states) < STATES:
+                self.states[key] = to
         return self._emit(ends, cut), to, ends[cut]
 
     def encode(self, data: bytes) -> bytes:
         """Ids of one match of the pattern, as little-endian 32-bit integers. A match that is a token is that token."""
         if data in self.code:
             return self.code[data]
-        if len(self.states) > STATES or len(self.pairs) > PAIRS:
-            self._reset()
         state, last, out = self.start, b"", []
         for byte in data:
             arc = state.arcs.get(byte) or self._arc(state, byte)
@@ -151,7 +153,7 @@ class Encoder:
     def __init__(self, path: str, pattern: str):
         self.transducer = Transducer(load_ranks(path))
         encode = self.transducer.encode
-        self.encode = Chunks(pattern, lambda piece: encode(piece.encode())).ids
+        self.encode = Chunks(pattern, lambda piece: encode(piece.encode()), *REMEMBERED).ids
 
 
 class Decoder:
@@ -215,10 +217,9 @@ class Utf8:
         return codecs.decode(rest, "utf-8", "replace")
 
 
-@lru_cache(maxsize=2)
 def coder(path: str, pattern: str) -> tuple[Encoder, Decoder]:
     """A worker keeps its automaton from task to task."""
-    return Encoder(path, pattern), Decoder(path)
+    return C.hold(("bpe", path, pattern), lambda: (Encoder(path, pattern), Decoder(path)))
 
 
 def _texts(batch: pa.RecordBatch, column: str = "text") -> Iterator[str]:
@@ -239,7 +240,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, extra: tuple[str,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, decoder = coder(path, pattern)
         encode = encoder.encode
-        for batch in batches:
+        for batch in C.slices(batches):
             counts, data, exact = [], [], []
             for text in _texts(batch):
                 own = encode(text)

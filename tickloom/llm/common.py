@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +19,44 @@ HOT = 1000
 #: Rows of 16 bytes that are broadcast at most.
 FEW = 50_000
 
+#: What a Python worker keeps from task to task: one operator's memory at a time.
+_held: dict[tuple, object] = {}
+
+
+def hold(key: tuple, make):
+    """The worker's own make(), kept until another operator runs in the worker."""
+    if key not in _held:
+        release()
+        _held[key] = make()
+    return _held[key]
+
+
+def release() -> None:
+    if _held:
+        _held.clear()
+        gc.collect()
+        trim()
+
+
+def trim() -> None:
+    """Give freed memory back to the system, where the C library can."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def slices(batches: Iterator, rows: int = 256) -> Iterator:
+    """Batches cut into smaller ones, so that what a worker makes of a batch stays small."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, rows):
+            yield batch.slice(i, rows)
+
+
 _spools: list[tuple[SparkSession, str]] = []
 
 

@@ -11,8 +11,8 @@ from collections.abc import Callable
 
 import regex
 
-#: Chunks remembered by a generation; two generations are held, so memory is bounded whatever the texts.
-GENERATION = 300_000
+#: Entries of a generation; two generations are held, so memory is bounded whatever the texts (200 bytes an entry, about).
+GENERATION = 100_000
 #: Marks that end a chunk often.
 MARKS = frozenset(".,;:!?")
 
@@ -40,10 +40,10 @@ class Memory:
 class Chunks:
     """ids(text) as bytes: the ids of all matches of the pattern, by piece(match), joined."""
 
-    def __init__(self, pattern: str, piece: Callable[[str], bytes]):
+    def __init__(self, pattern: str, piece: Callable[[str], bytes], chunks: int = GENERATION, pieces: int = GENERATION):
         self.find = regex.compile(pattern).findall
-        self.pieces = Memory(piece)
-        self.chunks = Memory(self._chunk)
+        self.pieces = Memory(piece, pieces)
+        self.chunks = Memory(self._chunk, chunks)
 
     def _chunk(self, chunk: str) -> bytes | None:
         if chunk.isalpha():  # letters after a blank are one match

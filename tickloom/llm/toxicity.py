@@ -204,7 +204,7 @@ def learn_words(rows: DataFrame, positives: int, negatives: int) -> tuple[dict[s
                 forms = {f"{w}$" for w in own if len(w) > 2} | {w[:n] for w in own for n in STEM if n <= len(w)}
                 out += forms
                 marks += [y.as_py()] * len(forms)
-                if len(out) > 200_000:
+                if len(out) > 50_000:
                     yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()), pa.array(marks, pa.int32())], ["form", "y"])
                     out, marks = [], []
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()), pa.array(marks, pa.int32())], ["form", "y"])
@@ -248,6 +248,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     model = Model(words, stems)
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        C.release()
         scorer = Scorer(model)
         for batch in batches:
             got = [(*scorer.features(t.as_py()), float(y.as_py())) for t, y in zip(batch.column(0), batch.column(1))]
@@ -263,6 +264,7 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), C.text_of().alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        C.release()
         scorer = Scorer(model)
         for batch in batches:
             scores = [scorer.score(t.as_py()) for t in batch.column(2)]
@@ -276,8 +278,9 @@ def accepted(docs: DataFrame, model: Model) -> DataFrame:
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        C.release()
         scorer = Scorer(model)
-        for batch in batches:
+        for batch in C.slices(batches):
             at = batch.schema.get_field_index("text")
             yield batch.filter(pa.array([scorer.score(t.as_py() or "") < 0.5 for t in batch.column(at)], pa.bool_()))
 

@@ -73,11 +73,11 @@ def test_stages(spark, corpus):
     ids = sorted(found)
     for k, a in enumerate(ids):
         for b in ids[:k]:
-            assert len(found[a] & found[b]) < 0.85 * len(found[a] | found[b]) or not found[a]
+            assert len(found[a] & found[b]) < 0.8 * len(found[a] | found[b]) or not found[a]
     for r in single:
         own = shingles(r.text)
         if r.doc_id not in found:
-            assert any(len(own & f) >= 0.75 * len(own | f) for f in found.values())
+            assert any(len(own & f) >= 0.8 * len(own | f) for f in found.values())
     # mixing: as often as the mix takes a document
     frame = spark.createDataFrame(apart, docs_schema(spark, at))
     taken = {r.doc_id: int(r.taken / max(r.size, 1) + 0.5) for r in mixing.mix_counts(frame).collect()}
@@ -113,4 +113,5 @@ def test_model_of_the_stage(spark, corpus):
     at, _, _ = corpus
     model = X.fit(spark.read.parquet(f"{at}/documents.parquet"), spark.read.parquet(f"{at}/labels.parquet"))
     assert "quxel" in model.words or any("quxel".startswith(s) for s in model.stems)
-    assert S.similarity_plan().radius == 78
+    plan = S.similarity_plan()
+    assert plan.sure < 78 < plan.radius and len(S.masks(plan)) == 40

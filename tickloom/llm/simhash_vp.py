@@ -14,9 +14,10 @@ of a boundary lies within the band's radius (none, with four bands and radius 3:
 shard links its fingerprints and reports a spanning forest of the links, never all pairs of a group.
 
 Near copies by similarity of shingle sets (the pipeline's stage) take the same way with longer fingerprints: over 5-word
-shingles each of the 512 bits of two texts of Jaccard similarity s differs with probability acos(2 s / (1 + s)) / pi, so
-the radius follows from s; two texts meet if one of 32 bands of 16 bits is equal, which at s = 0.8 happens for 91 % of
-pairs, at 0.85 for 98 %, at 0.9 for 99.8 %; a pair that meets is then compared on all bits.
+shingles each of the 512 bits of two texts of Jaccard similarity s differs with probability acos(2 s / (1 + s)) / pi. Two texts
+meet if one of 40 bands of 12 or 13 bits is equal, which at s = 0.8 happens for 99.5 % of pairs; a pair that meets is compared on
+128 bits, then on all. Pairs whose bits are three deviations on the near side of 0.8 are linked, those as far on the other
+side aren't, and for what is left between, unless sure links connect it, the shingle sets themselves are compared.
 """
 
 from __future__ import annotations
@@ -41,12 +42,15 @@ SAMPLE, LEAF = 1 << 18, 2048
 BLOCK = 8192
 #: A group of equal bands over this size is cut again by the rest of its bits.
 LARGE = 4096
+#: Groups of equal bands up to this size are compared in whole, larger ones by a search that takes out what it reaches.
+SMALL = 48
 
 
 @dataclass(frozen=True)
 class Plan:
     """words: 64-bit words of a fingerprint. bands: a word each has so many. radius: over all bits. near: bits that two words
-    (a band's own and the next one) may differ in before a pair is compared as a whole; None: one word, which is all."""
+    (a band's own and the next one) may differ in before a pair is compared as a whole; None: one word, which is all.
+    similarity: pairs within the radius but beyond `sure` bits are held to this similarity of their shingle sets."""
 
     shingle: int = 3
     words: int = 1
@@ -54,15 +58,19 @@ class Plan:
     radius: int = 3
     distinct: bool = False
     near: int | None = None
+    sure: int | None = None
+    similarity: float | None = None
 
 
 EXACT = Plan()
 
 
-def similarity_plan(similarity: float = 0.8, shingle: int = 5, words: int = 8) -> Plan:
+def similarity_plan(similarity: float = 0.8, shingle: int = 5, words: int = 8, bands: int = 5) -> Plan:
+    """Radii at which a pair of the similarity is within the bits with three deviations to spare, on either side."""
     bit = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    own = 128 - 16
-    return Plan(shingle, words, 4, round(64 * words * bit), True, round(own * bit + 2.5 * math.sqrt(own * bit * (1 - bit))))
+    width, other = 64 * words, 128 - -(-64 // bands)
+    spread = lambda n: math.sqrt(n * bit * (1 - bit))
+    return Plan(shingle, words, bands, round(width * bit + 3 * spread(width)), True, round(other * bit + 3 * spread(other)), round(width * bit - 3 * spread(width)), similarity)
 
 
 def hashes(text: str, shingle: int) -> np.ndarray:
@@ -83,7 +91,7 @@ def _mixed(h: np.ndarray, word: int) -> np.ndarray:
     """The hash itself for word 0, else another hash of it (a multiply-xorshift finaliser)."""
     if word == 0:
         return h
-    h = h + np.uint64(word) * np.uint64(0x9E3779B97F4A7C15)
+    h = h + np.uint64(word * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return h ^ (h >> np.uint64(31))
@@ -109,6 +117,7 @@ def fingerprints(docs: DataFrame, plan: Plan) -> DataFrame:
     rows = docs.select(F.monotonically_increasing_id().alias("row_no"), F.col("doc_id").cast("long").alias("doc_id"), C.text_key().alias("key"), text.alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        C.release()
         for batch in batches:
             prints = pa.array([fingerprint(t.as_py(), plan) for t in batch.column(3)], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], prints], ["row_no", "doc_id", "key", "print"])
@@ -202,29 +211,52 @@ def forest(x: np.ndarray, limit: int) -> list[tuple[int, int]]:
     return out
 
 
-def _equal_groups(values: np.ndarray) -> list[np.ndarray]:
+def _equal_groups(values: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Positions sorted by value, without those whose value is alone, of groups of at most SMALL; and the larger groups."""
     order = np.argsort(values, kind="stable")
     cuts = np.flatnonzero(np.diff(values[order])) + 1
-    return [g for g in np.split(order, cuts) if len(g) > 1]
-
-
-def shard_links(x: np.ndarray, mask: int, band_radius: int, limit: int) -> list[tuple[int, int]]:
-    """Links within a shard; word 0 of a row has the band. With band radius 0 only rows with equal bands need to be compared.
-    A large group is cut by its other bits, of which some part is equal too in every pair that is left."""
+    starts, ends = np.concatenate([[0], cuts]), np.concatenate([cuts, [len(order)]])
+    sizes = ends - starts
+    large = [order[a:b] for a, b in zip(starts[sizes > SMALL], ends[sizes > SMALL])]
+    return order[np.repeat((sizes > 1) & (sizes <= SMALL), sizes)], large
+
+
+def _small_links(x: np.ndarray, values: np.ndarray, order: np.ndarray, limit: int) -> np.ndarray:
+    """All links within small groups, compared at all distances in the sorted order, each distance at once."""
+    out = [np.zeros((0, 2), np.int64)]
+    for step in range(1, min(SMALL, len(order))):
+        left, right = order[:-step], order[step:]
+        same = values[left] == values[right]
+        if not same.any():
+            break
+        left, right = left[same], right[same]
+        near = np.bitwise_count(x[left] ^ x[right]).sum(axis=1, dtype=np.int64) <= limit
+        out.append(np.column_stack([left[near], right[near]]))
+    return np.concatenate(out)
+
+
+def shard_links(x: np.ndarray, mask: int, band_radius: int, limit: int) -> np.ndarray:
+    """Links within a shard as pairs of positions; word 0 of a row has the band. With band radius 0 only rows with equal bands
+    need to be compared. A very large group is cut by its other bits, of which some part is equal too in every pair that is left."""
+    if not len(x):
+        return np.zeros((0, 2), np.int64)
     if band_radius:
-        return forest(x, limit)
-    out = []
-    for group in _equal_groups(x[:, 0] & np.uint64(mask)):
+        return np.array(forest(x, limit), np.int64).reshape(-1, 2)
+    values = x[:, 0] & np.uint64(mask)
+    order, large = _equal_groups(values)
+    out = [_small_links(x, values, order, limit)]
+    for group in large:
         own = x[group]
-        rest = [b for b in range(64) if not mask >> b & 1]
         if len(group) <= LARGE or x.shape[1] > 1:
-            out += [(int(group[a]), int(group[b])) for a, b in forest(own, limit)]
+            out.append(group[np.array(forest(own, limit), np.int64).reshape(-1, 2)])
             continue
+        rest = [b for b in range(64) if not mask >> b & 1]
         for part in np.array_split(rest, limit + 1):
-            sub = np.uint64(sum(1 << int(b) for b in part))
-            for inner in _equal_groups(own[:, 0] & sub):
-                out += [(int(group[inner[a]]), int(group[inner[b]])) for a, b in forest(own[inner], limit)]
-    return out
+            values_in = own[:, 0] & np.uint64(sum(1 << int(b) for b in part))
+            order_in, large_in = _equal_groups(values_in)
+            out.append(group[_small_links(own, values_in, order_in, limit)])
+            out += [group[g[np.array(forest(own[g], limit), np.int64).reshape(-1, 2)]] for g in large_in]
+    return np.concatenate(out)
 
 
 def links(classes: DataFrame, plan: Plan, n: int, leaf: int = LEAF) -> DataFrame:
@@ -252,8 +284,7 @@ def links(classes: DataFrame, plan: Plan, n: int, leaf: int = LEAF) -> DataFrame
         if words > 1:
             columns.append(shard.column("second").to_numpy().view(np.uint64))
         nodes = shard.column("node").to_numpy()
-        pairs = shard_links(np.stack(columns, axis=1), bands[key[0].as_py() % count][1], band_radius, limit)
-        at = np.array(pairs, np.int64).reshape(-1, 2)
+        at = shard_links(np.stack(columns, axis=1), bands[key[0].as_py() % count][1], band_radius, limit)
         return pa.table({"a": nodes[at[:, 0]], "b": nodes[at[:, 1]]})
 
     dealt = classes.select("node", "print").mapInArrow(deal, "shard long, node long, own long, second long")
@@ -269,10 +300,38 @@ def links(classes: DataFrame, plan: Plan, n: int, leaf: int = LEAF) -> DataFrame
         for batch in batches:
             if batch.num_rows:
                 one, two = (np.frombuffer(b"".join(v.as_py() for v in batch.column(c)), np.uint8).reshape(batch.num_rows, -1) for c in ("left", "right"))
-                near = np.bitwise_count(one ^ two).sum(axis=1, dtype=np.int64) <= radius
-                yield batch.select(["a", "b"]).filter(pa.array(near))
+                bits = np.bitwise_count(one ^ two).sum(axis=1, dtype=np.int64)
+                kept = batch.select(["a", "b"]).append_column("bits", pa.array(bits))
+                yield kept.filter(pa.array(bits <= radius))
+
+    return both.select("a", "b", "left", "right").mapInArrow(whole, "a long, b long, bits long")
+
+
+def similar(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, plan: Plan) -> DataFrame:
+    """The pairs (a, b) of nodes (node, doc_id, key) whose texts' shingle sets have at least the plan's similarity."""
+    asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    wanted = C.spool(nodes.join(asked, "node").select("doc_id", "key", "node"), "asked")
+    texts = C.matching(docs.select("doc_id", "text"), wanted, "inner").select("node", C.text_of().alias("text"))
+    shingle, least = plan.shingle, plan.similarity
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in C.slices(batches):
+            own = [np.unique(hashes(t.as_py(), shingle)).tobytes() for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.binary())], ["node", "own"])
+
+    own = C.spool(texts.mapInArrow(sets, "node long, own binary").dropDuplicates(["node"]), "shingles")
+    both = pairs.select("a", "b").join(own.select(F.col("node").alias("a"), F.col("own").alias("left")), "a").join(own.select(F.col("node").alias("b"), F.col("own").alias("right")), "b")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in C.slices(batches):
+            keep = []
+            for left, right in zip(batch.column("left"), batch.column("right")):
+                x, y = (np.frombuffer(v.as_py(), np.uint64) for v in (left, right))
+                common = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(common >= least * (len(x) + len(y) - common))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return both.select("a", "b", "left", "right").mapInArrow(whole, "a long, b long")
+    return both.select("a", "b", "left", "right").mapInArrow(compare, "a long, b long")
 
 
 def near_groups(docs: DataFrame, plan: Plan = EXACT, leaf: int = LEAF) -> DataFrame:
@@ -281,11 +340,19 @@ def near_groups(docs: DataFrame, plan: Plan = EXACT, leaf: int = LEAF) -> DataFr
     rows = C.spool(fingerprints(docs, plan), "prints")
     total = rows.count()
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_no"))
-    classes = rows.groupBy("print").agg(first.alias("first"), F.min("row_no").alias("node"), F.count(F.lit(1)).alias("size"))
-    classes = C.spool(classes, "classes")
+    classes = rows.groupBy("print").agg(first.alias("first"), F.min(F.struct("row_no", "doc_id", "key")).alias("row"), F.count(F.lit(1)).alias("size"))
+    classes = C.spool(classes.select("print", "first", F.col("row.row_no").alias("node"), F.col("row.doc_id").alias("doc_id"), F.col("row.key").alias("key"), "size"), "classes")
     found = C.spool(links(classes, plan, classes.count(), leaf), "links")
+    if plan.similarity is not None:
+        # what the bits leave unsure, and the sure links don't connect anyway, is settled by the shingles themselves
+        sure = found.where(F.col("bits") <= plan.sure)
+        roots = C.spool(components(sure), "roots")
+        of = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root"))
+        open_ = found.where(F.col("bits") > plan.sure).join(of("a"), "a", "left").join(of("b"), "b", "left")
+        open_ = C.spool(open_.where(F.coalesce("a_root", "a") != F.coalesce("b_root", "b")).select("a", "b"), "unsure")
+        found = C.spool(sure.select("a", "b").union(similar(docs, classes.select("node", "doc_id", "key"), open_, plan)), "links")
     linked = components(found).withColumnRenamed("root", "group")
-    joined = C.spool(classes.join(linked, "node", "left").withColumn("group", F.coalesce("group", "node")), "grouped")
+    joined = C.spool(classes.drop("doc_id", "key").join(linked, "node", "left").withColumn("group", F.coalesce("group", "node")), "grouped")
     heads = joined.groupBy("group").agg(F.min("first").alias("head"))
     known = joined.join(heads, "group").select("print", "size", "group", F.col("head.doc_id").alias("component_id"), F.col("head.row_no").alias("first_row"))
     return C.attach(rows, C.spool(known, "known"), "print", "size", total).drop("size")

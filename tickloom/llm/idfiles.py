@@ -15,7 +15,6 @@ import uuid
 import zlib
 from array import array
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +31,8 @@ LEVEL = 1
 END = 0
 #: Documents to a file.
 FILE_DOCS = 4096
+#: Chunks and matches remembered, by a generation: the library is asked for what isn't.
+REMEMBERED = (600_000, 300_000)
 #: Texts that are Python objects at a time.
 TOGETHER = 512
 
@@ -148,10 +149,9 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
-@lru_cache(maxsize=2)
 def library_encoder(path: str, pattern: str) -> Callable[[str], np.ndarray]:
     """A text to ids by the tokenizers library. Matches of the pattern are tokenized one by one in any case, so the library's
-    model gets each that isn't remembered by itself. A worker keeps what it remembers from task to task."""
+    model gets each that isn't remembered by itself."""
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -165,7 +165,7 @@ def library_encoder(path: str, pattern: str) -> Callable[[str], np.ndarray]:
     def piece(match: str) -> bytes:
         return array(code, [t.id for t in tokenize(match.encode().decode("latin-1").translate(letters))]).tobytes()
 
-    ids = Chunks(pattern, piece).ids
+    ids = Chunks(pattern, piece, *REMEMBERED).ids
     return lambda text: np.frombuffer(ids(text), kind)
 
 
@@ -181,7 +181,7 @@ def write_ids(docs: DataFrame, path: str, pattern: str, out: str, bits: bool = F
     end = np.array([END])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = library_encoder(path, pattern)
+        encode = C.hold(("idfiles", path, pattern), lambda: library_encoder(path, pattern))
         fs, folder = C.open_fs(out)
         fs.create_dir(folder, recursive=True)
         now, name, stream, writer = None, "", None, None

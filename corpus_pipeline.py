@@ -17,6 +17,8 @@ from tickloom.llm import exact_dedup as dedup
 
 #: The file of the tokenizer's ranks, and the pattern that splits texts before.
 RANKS, PATTERN = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+#: Workers of the last stage stand beside executors that the stages before have filled.
+LEAN = bpe.Bounds(states=60_000, pairs=150_000, chunks=100_000, matches=30_000)
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,7 +44,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, n_tokens, ids, exact."""
-    return bpe.encode_documents(docs, RANKS, PATTERN, ("lang", "source"))
+    return bpe.encode_documents(docs, RANKS, PATTERN, ("lang", "source"), LEAN)
 
 
 STAGES = [("toxicity", without_toxic), ("exact dedup", without_copies), ("simhash near-dedup", without_near_copies), ("mixing", mixed), ("bpe", encoded)]

@@ -15,6 +15,7 @@ import codecs
 import hashlib
 from array import array
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 from itertools import islice
 
 import pyarrow as pa
@@ -29,7 +30,7 @@ STATES = 80_000
 #: Pairs of tokens held at most of which it is known whether they can be neighbours.
 PAIRS = 200_000
 #: Chunks and matches remembered, by a generation.
-REMEMBERED = (200_000, 40_000)
+CHUNKS, MATCHES = 200_000, 40_000
 #: Ids decoded at a time.
 DECODE_BLOCK = 4096
 
@@ -64,12 +65,22 @@ class State:
         self.pending, self.ends, self.chains, self.arcs, self.rest = pending, ends, chains, {}, None
 
 
+@dataclass(frozen=True)
+class Bounds:
+    """What a worker holds at most: states, pairs of tokens, chunks and matches of a generation. No bound changes a result."""
+
+    states: int = STATES
+    pairs: int = PAIRS
+    chunks: int = CHUNKS
+    matches: int = MATCHES
+
+
 class Transducer:
     """Arcs are (emitted ids, next state, last token emitted, guard, other arc): the arc is taken if the guard, a token, can
     follow the last certain token, else the other one. Only the token that all of the pending bytes form needs a guard."""
 
-    def __init__(self, ranks: dict[bytes, int]):
-        self.ranks = ranks
+    def __init__(self, ranks: dict[bytes, int], bounds: Bounds = Bounds()):
+        self.ranks, self.bounds = ranks, bounds
         self.code = {t: array("I", [r]).tobytes() for t, r in ranks.items()}
         self.beginnings = {t[:i] for t in ranks for i in range(1, len(t))}
         self.start = State(b"", (b"",), (1,))
@@ -81,7 +92,7 @@ class Transducer:
         found = self.pairs.get((last, token))
         if found is None:
             found = merge(self.ranks, last + token) == ([last, token] if last else [token])
-            if len(self.pairs) < PAIRS:
+            if len(self.pairs) < self.bounds.pairs:
                 self.pairs[last, token] = found
         return found
 
@@ -105,7 +116,7 @@ class Transducer:
             arc = (*self._to(state, pending, pending), pending, other)
         else:
             arc = (*other, None, None)
-        if len(self.states) < STATES:  # else made for the moment
+        if len(self.states) < self.bounds.states:  # else made for the moment
             state.arcs[byte] = arc
         return arc
 
@@ -124,7 +135,7 @@ class Transducer:
         to = self.states.get(key)
         if to is None:
             to = State(*key, tuple(c >> cut | 1 for c in chains[cut:]))
-            if len(self.states) < STATES:
+            if len(self.states) < self.bounds.states:
                 self.states[key] = to
         return self._emit(ends, cut), to, ends[cut]
 
@@ -150,10 +161,10 @@ class Transducer:
 class Encoder:
     """encode(text): the ids of all matches of the pattern, each by itself, as bytes."""
 
-    def __init__(self, path: str, pattern: str):
-        self.transducer = Transducer(load_ranks(path))
+    def __init__(self, path: str, pattern: str, bounds: Bounds = Bounds()):
+        self.transducer = Transducer(load_ranks(path), bounds)
         encode = self.transducer.encode
-        self.encode = Chunks(pattern, lambda piece: encode(piece.encode()), *REMEMBERED).ids
+        self.encode = Chunks(pattern, lambda piece: encode(piece.encode()), bounds.chunks, bounds.matches).ids
 
 
 class Decoder:
@@ -217,9 +228,9 @@ class Utf8:
         return codecs.decode(rest, "utf-8", "replace")
 
 
-def coder(path: str, pattern: str) -> tuple[Encoder, Decoder]:
+def coder(path: str, pattern: str, bounds: Bounds = Bounds()) -> tuple[Encoder, Decoder]:
     """A worker keeps its automaton from task to task."""
-    return C.hold(("bpe", path, pattern), lambda: (Encoder(path, pattern), Decoder(path)))
+    return C.hold(("bpe", path, pattern, bounds), lambda: (Encoder(path, pattern, bounds), Decoder(path)))
 
 
 def _texts(batch: pa.RecordBatch, column: str = "text") -> Iterator[str]:
@@ -228,7 +239,7 @@ def _texts(batch: pa.RecordBatch, column: str = "text") -> Iterator[str]:
         yield value.as_py() or ""
 
 
-def encode_documents(docs: DataFrame, path: str, pattern: str, extra: tuple[str, ...] = ()) -> DataFrame:
+def encode_documents(docs: DataFrame, path: str, pattern: str, extra: tuple[str, ...] = (), bounds: Bounds = Bounds()) -> DataFrame:
     """doc_id, extra columns, n_tokens, ids (little-endian 32-bit integers, in bytes) and exact: do the ids decode to the text?
 
     An extra column of one of these names is left out."""
@@ -238,7 +249,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, extra: tuple[str,
     schema = rows.drop("text").schema.add("n_tokens", "long").add("ids", "binary").add("exact", "boolean")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, decoder = coder(path, pattern)
+        encoder, decoder = coder(path, pattern, bounds)
         encode = encoder.encode
         for batch in C.slices(batches):
             counts, data, exact = [], [], []

@@ -43,7 +43,7 @@ def corpus(spark, tmp_path_factory):
     docs = [(i, t, "en", f"src{i % 4 if i % 3 else 0}", len(t), "x") for i, t in enumerate(rows)]
     docs += [(9000, None, None, None, None, "y"), (9001, "", "en", None, 0, "y"), (9002, "last " * 9000, "en", "src1", 1, "z"), (9003, rows[5], "en", "src1", 1, "z"), (9003, rows[5], "en", "src1", 1, "z")]
     at = str(tmp_path_factory.mktemp("corpus"))
-    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long, _mark2 string").write.parquet(f"{at}/documents.parquet")
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long, _mark string").write.parquet(f"{at}/documents.parquet")
     spark.createDataFrame([(i, 1, int(i in toxic)) for i in range(len(rows)) if i % 4], "doc_id long, quality int, toxic int").write.parquet(f"{at}/labels.parquet")
     return at, docs, toxic
 

@@ -128,23 +128,37 @@ def text_key() -> Column:
     return F.xxhash64(F.length(text_of()), text_of())
 
 
-def matching(docs: DataFrame, decided: DataFrame, how: str) -> DataFrame:
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, with as many underscores behind each as make it one that df hasn't."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def matching(docs: DataFrame, decided: DataFrame, how: str, mark: str = "") -> DataFrame:
     """docs joined to decided by (doc_id, key): by broadcast if that is FEW rows at most, else by a sort-merge join. Rows that
-    repeat both are one key, so each key may be in decided once."""
-    own = decided.withColumnsRenamed({"doc_id": "_id", "key": "_key"})
+    repeat both are one key, so each key may be in decided once. mark: keep the key of docs under this name."""
+    names = free_names(docs, "_mark", "_id", "_key")
+    own = decided.withColumnsRenamed({"doc_id": names[1], "key": names[2]})
     own = F.broadcast(own) if own.count() <= FEW else own.hint("merge")
-    marked = docs.withColumn("_mark", text_key())
-    same = marked["_mark"].eqNullSafe(own["_key"]) & marked["doc_id"].cast("long").eqNullSafe(own["_id"])
-    return marked.join(own, same, how).drop("_id", "_key")
+    marked = docs.withColumn(names[0], text_key())
+    same = marked[names[0]].eqNullSafe(own[names[2]]) & marked["doc_id"].cast("long").eqNullSafe(own[names[1]])
+    out = marked.join(own, same, how).drop(*names[1:])
+    return out.withColumnRenamed(names[0], mark) if mark else out.drop(names[0])
 
 
 def keep(docs: DataFrame, decided: DataFrame) -> DataFrame:
     """The rows of docs that decided (doc_id, key, kept) keeps. Of rows that repeat an id and a text one stays if any is kept."""
     per = spool(decided.groupBy("doc_id", "key").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n")), "decided")
-    out = matching(docs, per.where(~F.col("kept")).select("doc_id", "key"), "left_anti")
+    (mark,) = free_names(docs, "_mark")
+    out = matching(docs, per.where(~F.col("kept")).select("doc_id", "key"), "left_anti", mark)
     if per.where("kept and n > 1").limit(1).count():
-        out = out.dropDuplicates(["doc_id", "_mark"])
-    return out.drop("_mark")
+        out = out.dropDuplicates(["doc_id", mark])
+    return out.select(*docs.columns)
 
 
 def hex64(value: Column) -> Column:

@@ -115,6 +115,7 @@ def mix_counts(docs: DataFrame) -> DataFrame:
 def resample(docs: DataFrame) -> DataFrame:
     """docs mixed: a document is there as often as the mix takes it, rounded (0 to MAX_PASSES times), with all its columns."""
     counts = mix_counts(docs).groupBy("doc_id", "key").agg((F.sum("taken") / F.greatest(F.sum("size"), F.lit(1))).alias("share"))
-    times = C.spool(counts.select("doc_id", "key", F.floor(F.col("share") + 0.5).cast("int").alias("_times")), "times")
-    joined = C.matching(docs, times.where("_times > 0"), "inner")
-    return joined.withColumn("_nth", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)
+    many, nth = C.free_names(docs, "_times", "_nth")
+    times = C.spool(counts.select("doc_id", "key", F.floor(F.col("share") + 0.5).cast("int").alias(many)), "times")
+    joined = C.matching(docs, times.where(F.col(many) > 0), "inner")
+    return joined.withColumn(nth, F.explode(F.sequence(F.lit(1), F.col(many)))).select(*docs.columns)

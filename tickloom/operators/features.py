@@ -78,6 +78,27 @@ def base_features(bars: DataFrame, over: K.Over) -> Stages:
     return s
 
 
+def long_zscores(s: Stages, over: K.Over, asked: list[tuple[str, int]]) -> None:
+    """_z_<name>: the z-score of a column over so many rows, at a cost per row that doesn't grow with them.
+
+    Frames are differences of running sums of the values, taken from their mean over the block so that little cancels. A
+    spread that is no more than rounding leaves of the running sum of squares is zero, and its z-score null.
+    """
+    w = f"(PARTITION BY {', '.join(over.keys)} ORDER BY {over.order}"
+    every, running, row = f"{w} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)", f"{w} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)", f"{w})"
+    # as text: a call per stage instead of one per operation
+    value = "CASE WHEN NOT isnan({0}) AND abs({0}) < double('Infinity') THEN {0} END"
+    steps = [
+        lambda x, n: [f"{value.format(x)} - avg({value.format(x)}) OVER {every} AS _d_{x}"],
+        lambda x, n: [f"count(_d_{x}) OVER {running} AS _n_{x}", f"sum(_d_{x}) OVER {running} AS _s_{x}", f"sum(_d_{x} * _d_{x}) OVER {running} AS _q_{x}"],
+        lambda x, n: [f"nullif(_n_{x} - coalesce(lag(_n_{x}, {n}) OVER {row}, 0), 0) AS _nw_{x}", *[f"_{k}_{x} - coalesce(lag(_{k}_{x}, {n}) OVER {row}, 0D) AS _{k}w_{x}" for k in "sq"]],
+        lambda x, n: [f"_qw_{x} - _sw_{x} * _sw_{x} / _nw_{x} AS _v_{x}"],
+        lambda x, n: [f"CASE WHEN _nw_{x} >= {n} AND _v_{x} > 1e-13D * _q_{x} THEN (_d_{x} - _sw_{x} / _nw_{x}) / sqrt(_v_{x} / (_nw_{x} - 1)) END AS _z_{x}"],
+    ]
+    for step in steps:
+        s.df = s.df.selectExpr("*", *[e for name, rows in asked for e in step(name, rows)])
+
+
 def compute(bars: DataFrame, config: FeatureConfig, drop_first: bool = True) -> DataFrame:
     """series_id, row_id and feature_names(): one row per bar, without the first max(windows) bars of a series.
 
@@ -146,10 +167,7 @@ def compute(bars: DataFrame, config: FeatureConfig, drop_first: bool = True) ->
             s.add(f"rv_change_{name}", zero(F.col(f"rv_{name}") - over.lag(F.col(f"rv_{name}"), w)))
     s.next()
 
-    for name, _, rows, z, pct in catalogue(config):
-        if z or pct:
-            s.add(f"_z_{name}", over.zscore(F.col(name), rows))
-    s.next()
+    long_zscores(s, over, [(name, rows) for name, _, rows, z, pct in catalogue(config) if z or pct])
     for name, _, _, z, pct in catalogue(config):
         if z:
             s.add(f"{name}_z", zero(F.col(f"_z_{name}")))

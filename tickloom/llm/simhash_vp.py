@@ -196,10 +196,21 @@ def fit_trees(classes: DataFrame, plan: Plan, n: int, leaf: int) -> list[Tree]:
     return [Tree(some[:, w], mask, per_leaf, i) for i, (w, mask) in enumerate(masks(plan))]
 
 
+def _centre(x: np.ndarray) -> int:
+    """The row nearest to the majority of all rows' bits: of copies of one text, that text or what is most like it."""
+    bits = np.unpackbits(x.astype(">u8").view(np.uint8).reshape(len(x), -1), axis=1)
+    middle = np.packbits(2 * bits.sum(axis=0, dtype=np.int64) > len(x)).view(">u8").astype(np.uint64)
+    return int(np.bitwise_count(x ^ middle).sum(axis=1, dtype=np.int64).argmin())
+
+
 def forest(x: np.ndarray, limit: int) -> list[tuple[int, int]]:
-    """Links that connect what links of at most limit bits connect: x has a row of words each. What a member reaches is taken
-    out of the search, so a dense group costs a few passes."""
-    left, out = np.arange(len(x)), []
+    """Links that connect what links of at most limit bits connect, as trees, the first one from the centre: x has a row of words
+    each. What a member reaches is taken out of the search, so a dense group costs a few passes."""
+    if not len(x):
+        return []
+    order = np.arange(len(x))
+    first = _centre(x)
+    left, out = np.concatenate([[first], order[order != first]]), []
     while len(left):
         todo, left = [left[0]], left[1:]
         while todo and len(left):
@@ -221,18 +232,38 @@ def _equal_groups(values: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
     return order[np.repeat((sizes > 1) & (sizes <= SMALL), sizes)], large
 
 
+def _spanning(pairs: np.ndarray) -> np.ndarray:
+    """Of links, in the order of their distances, those that join two trees: each row keeps its nearest link."""
+    root: dict[int, int] = {}
+
+    def find(n: int) -> int:
+        while (up := root.get(n, n)) != n:
+            root[n] = n = root.get(up, up)
+        return n
+
+    keep = []
+    for i, (a, b) in enumerate(pairs.tolist()):
+        a, b = find(a), find(b)
+        if a != b:
+            root[max(a, b)] = min(a, b)
+            keep.append(i)
+    return pairs[keep]
+
+
 def _small_links(x: np.ndarray, values: np.ndarray, order: np.ndarray, limit: int) -> np.ndarray:
-    """All links within small groups, compared at all distances in the sorted order, each distance at once."""
-    out = [np.zeros((0, 2), np.int64)]
+    """A spanning forest of the links within small groups, compared at all distances in the sorted order, each at once."""
+    out = [np.zeros((0, 3), np.int64)]
     for step in range(1, min(SMALL, len(order))):
         left, right = order[:-step], order[step:]
         same = values[left] == values[right]
         if not same.any():
             break
         left, right = left[same], right[same]
-        near = np.bitwise_count(x[left] ^ x[right]).sum(axis=1, dtype=np.int64) <= limit
-        out.append(np.column_stack([left[near], right[near]]))
-    return np.concatenate(out)
+        bits = np.bitwise_count(x[left] ^ x[right]).sum(axis=1, dtype=np.int64)
+        near = bits <= limit
+        out.append(np.column_stack([left[near], right[near], bits[near]]))
+    pairs = np.concatenate(out)
+    return _spanning(pairs[np.lexsort((pairs[:, 1], pairs[:, 0], pairs[:, 2]))][:, :2])
 
 
 def shard_links(x: np.ndarray, mask: int, band_radius: int, limit: int) -> np.ndarray:
@@ -284,6 +315,9 @@ def links(classes: DataFrame, plan: Plan, n: int, leaf: int = LEAF) -> DataFrame
         if words > 1:
             columns.append(shard.column("second").to_numpy().view(np.uint64))
         nodes = shard.column("node").to_numpy()
+        # in the order of nodes, so that bands choose the same links where they can
+        by_node = np.argsort(nodes, kind="stable")
+        nodes, columns = nodes[by_node], [c[by_node] for c in columns]
         at = shard_links(np.stack(columns, axis=1), bands[key[0].as_py() % count][1], band_radius, limit)
         return pa.table({"a": nodes[at[:, 0]], "b": nodes[at[:, 1]]})
 

@@ -139,3 +139,56 @@ def test_similarity(spark):
     group = {r.doc_id: r.component_id for r in S.near_groups(frame(spark, rows), S.similarity_plan(), leaf=50).collect()}
     assert all(group[a] == group[b] for a, b in pairs)
     assert all(group[a] != group[b] for a, b in apart)
+
+
+def template_family(seed, members=150, pairs=12, own=7, changed=4):
+    """Texts that share a template, about 0.6 alike, and with each of the first ones one that is 0.85 alike or more."""
+    rng = random.Random(seed)
+    template, rows, near = [f"t{i}" for i in range(300)], [], []
+    for i in range(members):
+        words = list(template)
+        for at in rng.sample(range(0, 300, 6), own):
+            words[at] = f"o{i}_{at}"
+        rows.append((2 * i, " ".join(words)))
+        if i < pairs:
+            words = [*words]
+            for at in rng.sample(range(300), changed):
+                words[at] = f"p{i}_{at}"
+            rows.append((2 * i + 1, " ".join(words)))
+            near.append((2 * i, 2 * i + 1))
+    return rows, near
+
+
+def jaccard(one, two):
+    a, b = (set(S.hashes(t, 5).tolist()) for t in (one, two))
+    return len(a & b) / len(a | b)
+
+
+@pytest.mark.parametrize("small", [48, 4])
+def test_template_family(spark, monkeypatch, small):
+    """Links that the shingle sets refuse don't hide the true ones: groups are those of brute force over all pairs."""
+    rows, near = template_family(7)
+    text = dict(rows)
+    assert all(jaccard(text[a], text[b]) >= 0.85 for a, b in near)
+    links = brute_groups(sorted(text), lambda a, b: jaccard(text[a], text[b]) >= 0.8)
+    plan = S.similarity_plan()
+    prints = np.stack([np.frombuffer(S.fingerprint(t, plan), ">u8").astype(np.uint64) for _, t in rows])
+    met = set()
+    monkeypatch.setattr(S, "SMALL", small)
+    for w, mask in S.masks(plan):
+        x = np.roll(prints, -w, axis=1)
+        sure, asked = S.sure_links(x, mask, plan)
+        open_ = np.array(sorted(asked.tolist()), np.int64)
+        unsure = open_[S.unsure_links(x[open_], open_, mask, plan)] if len(open_) else []
+        met |= {tuple(sorted((rows[a][0], rows[b][0]))) for a, b in [*np.array(sure).tolist(), *np.array(unsure).tolist()]}
+    true = [p for p in near if links[p[0]] == links[p[1]]]
+    assert len(true) == len(near) and all(tuple(p) in met for p in near)
+    group = {r.doc_id: r.component_id for r in S.near_groups(frame(spark, rows), plan, leaf=50).collect()}
+    assert group == links
+
+
+def test_large_template_family(spark):
+    """Band groups over SMALL, of loosely similar texts: no true pair is lost."""
+    rows, near = template_family(8, 4000, 200)
+    group = {r.doc_id: r.component_id for r in S.near_groups(frame(spark, rows), S.similarity_plan()).collect()}
+    assert [p for p in near if group[p[0]] != group[p[1]]] == []

@@ -17,7 +17,9 @@ Near copies by similarity of shingle sets (the pipeline's stage) take the same w
 shingles each of the 512 bits of two texts of Jaccard similarity s differs with probability acos(2 s / (1 + s)) / pi. Two texts
 meet if one of 40 bands of 12 or 13 bits is equal, which at s = 0.8 happens for 99.5 % of pairs; a pair that meets is compared on
 128 bits, then on all. Pairs whose bits are three deviations on the near side of 0.8 are linked, those as far on the other
-side aren't, and for what is left between, unless sure links connect it, the shingle sets themselves are compared.
+side aren't, and for what is left between, unless sure links connect it, the shingle sets themselves are compared. Shards hold all
+bits, so they report trees of sure links alone, and which fingerprints have a link that is left between to another tree. A
+second search, among these only, reports every such link between two groups of sure links.
 """
 
 from __future__ import annotations
@@ -278,7 +280,7 @@ def shard_links(x: np.ndarray, mask: int, band_radius: int, limit: int) -> np.nd
     out = [_small_links(x, values, order, limit)]
     for group in large:
         own = x[group]
-        if len(group) <= LARGE or x.shape[1] > 1:
+        if len(group) <= LARGE:
             out.append(group[np.array(forest(own, limit), np.int64).reshape(-1, 2)])
             continue
         rest = [b for b in range(64) if not mask >> b & 1]
@@ -291,54 +293,159 @@ def shard_links(x: np.ndarray, mask: int, band_radius: int, limit: int) -> np.nd
 
 
 def links(classes: DataFrame, plan: Plan, n: int, leaf: int = LEAF) -> DataFrame:
-    """a, b: nodes whose fingerprints are within the radius; enough links to connect all that are. classes: node, print."""
-    trees, bands, count = fit_trees(classes, plan, n, leaf), masks(plan), len(masks(plan))
-    band_radius = plan.radius // plan.bands if plan.words == 1 else 0
-    limit = plan.radius if plan.near is None else plan.near
-    words = plan.words
+    """a, b: nodes whose fingerprints, of one word, are within the radius; enough links to connect all that are. classes: node, print."""
+    bands, band_radius, limit = masks(plan), plan.radius // plan.bands, plan.radius
 
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def solve(key, shard):
+        nodes, x, _ = _members(shard)
+        at = shard_links(x, bands[key[0].as_py() % len(bands)][1], band_radius, limit)
+        return pa.table({"a": nodes[at[:, 0]], "b": nodes[at[:, 1]]})
+
+    dealt = deal(classes.select("node", "print", F.col("node").alias("root")), plan, fit_trees(classes, plan, n, leaf), band_radius)
+    return dealt.groupBy("shard").applyInArrow(solve, "a long, b long")
+
+
+def deal(classes: DataFrame, plan: Plan, trees: list[Tree], band_radius: int) -> DataFrame:
+    """shard, node, root, own: the words of the fingerprint from the band's on. classes: node, print, root."""
+    bands, words = masks(plan), plan.words
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            nodes = batch.column(0).to_numpy()
+            nodes, roots = batch.column(0).to_numpy(), batch.column(2).to_numpy()
             x = np.frombuffer(b"".join(v.as_py() for v in batch.column(1)), ">u8").astype(np.uint64).reshape(-1, words)
             for b, (w, _) in enumerate(bands):
                 for leaf_no, idx in trees[b].route(x[:, w], band_radius):
-                    second = x[idx, (w + 1) % words]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(idx), leaf_no * count + b, np.int64)), pa.array(nodes[idx]), pa.array(x[idx, w].view(np.int64)), pa.array(second.view(np.int64))], ["shard", "node", "own", "second"]
-                    )
+                    own = np.roll(x[idx], -w, axis=1).tobytes()
+                    own = pa.FixedSizeBinaryArray.from_buffers(pa.binary(8 * words), len(idx), [None, pa.py_buffer(own)]).cast(pa.binary())
+                    columns = [pa.array(np.full(len(idx), leaf_no * len(bands) + b, np.int64)), pa.array(nodes[idx]), pa.array(roots[idx]), own]
+                    yield pa.RecordBatch.from_arrays(columns, ["shard", "node", "root", "own"])
 
-    def solve(key, shard):
-        columns = [shard.column("own").to_numpy().view(np.uint64)]
-        if words > 1:
-            columns.append(shard.column("second").to_numpy().view(np.uint64))
-        nodes = shard.column("node").to_numpy()
-        # in the order of nodes, so that bands choose the same links where they can
-        by_node = np.argsort(nodes, kind="stable")
-        nodes, columns = nodes[by_node], [c[by_node] for c in columns]
-        at = shard_links(np.stack(columns, axis=1), bands[key[0].as_py() % count][1], band_radius, limit)
-        return pa.table({"a": nodes[at[:, 0]], "b": nodes[at[:, 1]]})
+    return classes.select("node", "print", "root").mapInArrow(run, "shard long, node long, root long, own binary")
 
-    dealt = classes.select("node", "print").mapInArrow(deal, "shard long, node long, own long, second long")
-    found = dealt.groupBy("shard").applyInArrow(solve, "a long, b long")
-    if plan.near is None:
-        return found
-    prints = classes.select("node", "print")
-    both = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    both = both.join(prints.select(F.col("node").alias("a"), F.col("print").alias("left")), "a").join(prints.select(F.col("node").alias("b"), F.col("print").alias("right")), "b")
-    radius = plan.radius
 
-    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                one, two = (np.frombuffer(b"".join(v.as_py() for v in batch.column(c)), np.uint8).reshape(batch.num_rows, -1) for c in ("left", "right"))
-                bits = np.bitwise_count(one ^ two).sum(axis=1, dtype=np.int64)
-                kept = batch.select(["a", "b"]).append_column("bits", pa.array(bits))
-                yield kept.filter(pa.array(bits <= radius))
+def _members(shard: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Nodes, fingerprints and roots, in the order of nodes, so that bands choose the same links where they can."""
+    nodes = shard.column("node").to_numpy()
+    x = np.frombuffer(b"".join(v.as_py() for v in shard.column("own")), np.uint64).reshape(len(nodes), -1)
+    order = np.argsort(nodes, kind="stable")
+    return nodes[order], x[order], shard.column("root").to_numpy()[order]
+
+
+def _bits(x: np.ndarray, left: np.ndarray, right: np.ndarray | int, plan: Plan) -> tuple[np.ndarray, np.ndarray]:
+    """Positions in left whose rows are within the plan's radii of those of right, and their bits."""
+    at = np.flatnonzero(np.bitwise_count(x[left, :2] ^ x[right, :2]).sum(axis=1, dtype=np.int64) <= plan.near)
+    bits = np.bitwise_count(x[left[at]] ^ (x[right[at]] if isinstance(right, np.ndarray) else x[right])).sum(axis=1, dtype=np.int64)
+    return at[bits <= plan.radius], bits[bits <= plan.radius]
+
+
+def _small_pairs(x: np.ndarray, values: np.ndarray, order: np.ndarray, plan: Plan) -> np.ndarray:
+    """All pairs within the radii in small groups, with their bits: compared at all distances in the sorted order, each at once."""
+    out = [np.zeros((0, 3), np.int64)]
+    for step in range(1, min(SMALL, len(order))):
+        left, right = order[:-step], order[step:]
+        same = values[left] == values[right]
+        if not same.any():
+            break
+        left, right = left[same], right[same]
+        at, bits = _bits(x, left, right, plan)
+        out.append(np.column_stack([left[at], right[at], bits]))
+    return np.concatenate(out)
+
+
+def _sure_forest(x: np.ndarray, group: np.ndarray, plan: Plan) -> tuple[list[tuple[int, int]], list[int]]:
+    """Trees that connect what sure links connect in a group, and the rows with an unsure link to another tree. A tree's rows are
+    compared with all that is left when they are reached, so every pair of rows in two trees is compared."""
+    left, out, open_ = group, [], []
+    while len(left):
+        todo, left = [int(left[0])], left[1:]
+        tree, loose = [], []
+        while todo and len(left):
+            u = todo.pop()
+            tree.append(u)
+            at, bits = _bits(x, left, u, plan)
+            found = left[at[bits <= plan.sure]].tolist()
+            loose.append(left[at[bits > plan.sure]])
+            left = np.delete(left, at[bits <= plan.sure])
+            out += [(u, f) for f in found]
+            todo += found
+        for u, near in zip(tree, loose):
+            near = near[np.isin(near, left)]
+            if len(near):
+                open_ += [u, *near.tolist()]
+    return out, open_
+
+
+def sure_links(x: np.ndarray, mask: int, plan: Plan) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows that connect what sure links connect among rows of equal bands; the rows with an unsure link to another tree."""
+    values = x[:, 0] & np.uint64(mask)
+    order, large = _equal_groups(values)
+    pairs = _small_pairs(x, values, order, plan)
+    pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0], pairs[:, 2]))]
+    sure = pairs[:, 2] <= plan.sure
+    tree = _spanning(pairs[sure, :2])
+    root = _tree_of(len(x), tree)
+    unsure = pairs[~sure, :2]
+    out, open_ = [tree], [unsure[root[unsure[:, 0]] != root[unsure[:, 1]]].reshape(-1)]
+    for group in large:
+        own, asked = _sure_forest(x, group, plan)
+        out.append(np.array(own, np.int64).reshape(-1, 2))
+        open_.append(np.array(asked, np.int64))
+    return np.concatenate(out), np.unique(np.concatenate(open_))
+
+
+def _tree_of(n: int, pairs: np.ndarray) -> np.ndarray:
+    root = np.arange(n)
+    for a, b in pairs.tolist():
+        while root[a] != a:
+            a = root[a]
+        while root[b] != b:
+            b = root[b]
+        root[max(a, b)] = min(a, b)
+    while (root[root] != root).any():
+        root = root[root]
+    return root
+
+
+def unsure_links(x: np.ndarray, roots: np.ndarray, mask: int, plan: Plan) -> np.ndarray:
+    """All pairs of rows within the radii that have equal bands and different roots."""
+    values = x[:, 0] & np.uint64(mask)
+    order, large = _equal_groups(values)
+    pairs = _small_pairs(x, values, order, plan)[:, :2]
+    out = [pairs[roots[pairs[:, 0]] != roots[pairs[:, 1]]]]
+    for group in large:
+        for i, u in enumerate(group[:-1].tolist()):
+            left = group[i + 1 :]
+            left = left[roots[left] != roots[u]]
+            at, _ = _bits(x, left, u, plan)
+            out.append(np.column_stack([np.full(len(at), u), left[at]]))
+    return np.concatenate(out)
+
+
+def similar_links(docs: DataFrame, classes: DataFrame, plan: Plan, n: int, leaf: int = LEAF) -> DataFrame:
+    """a, b: nodes of texts of the plan's similarity; enough links to connect all that meet. classes: node, doc_id, key, print."""
+    trees, bands = fit_trees(classes, plan, n, leaf), masks(plan)
+
+    def first(key, shard):
+        nodes, x, _ = _members(shard)
+        at, asked = sure_links(x, bands[key[0].as_py() % len(bands)][1], plan)
+        return pa.table({"a": np.concatenate([nodes[at[:, 0]], nodes[asked]]), "b": np.concatenate([nodes[at[:, 1]], nodes[asked]])})
+
+    def second(key, shard):
+        nodes, x, roots = _members(shard)
+        at = unsure_links(x, roots, bands[key[0].as_py() % len(bands)][1], plan)
+        return pa.table({"a": nodes[at[:, 0]], "b": nodes[at[:, 1]]})
 
-    return both.select("a", "b", "left", "right").mapInArrow(whole, "a long, b long, bits long")
+    alone = classes.select("node", "print", F.col("node").alias("root"))
+    found = C.spool(deal(alone, plan, trees, 0).groupBy("shard").applyInArrow(first, "a long, b long"), "links")
+    sure = found.where("a <> b")
+    asked = found.where("a = b").select(F.col("a").alias("node")).distinct()
+    roots = C.spool(components(sure), "roots")
+    open_ = C.spool(classes.select("node", "print").join(asked, "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "open")
+    pairs = deal(open_, plan, trees, 0).groupBy("shard").applyInArrow(second, "a long, b long")
+    unsure = C.spool(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "unsure")
+    return C.spool(sure.union(similar(docs, classes.select("node", "doc_id", "key"), unsure, plan)), "links")
 
 
 def similar(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, plan: Plan) -> DataFrame:
@@ -376,15 +483,10 @@ def near_groups(docs: DataFrame, plan: Plan = EXACT, leaf: int = LEAF) -> DataFr
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_no"))
     classes = rows.groupBy("print").agg(first.alias("first"), F.min(F.struct("row_no", "doc_id", "key")).alias("row"), F.count(F.lit(1)).alias("size"))
     classes = C.spool(classes.select("print", "first", F.col("row.row_no").alias("node"), F.col("row.doc_id").alias("doc_id"), F.col("row.key").alias("key"), "size"), "classes")
-    found = C.spool(links(classes, plan, classes.count(), leaf), "links")
-    if plan.similarity is not None:
-        # what the bits leave unsure, and the sure links don't connect anyway, is settled by the shingles themselves
-        sure = found.where(F.col("bits") <= plan.sure)
-        roots = C.spool(components(sure), "roots")
-        of = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root"))
-        open_ = found.where(F.col("bits") > plan.sure).join(of("a"), "a", "left").join(of("b"), "b", "left")
-        open_ = C.spool(open_.where(F.coalesce("a_root", "a") != F.coalesce("b_root", "b")).select("a", "b"), "unsure")
-        found = C.spool(sure.select("a", "b").union(similar(docs, classes.select("node", "doc_id", "key"), open_, plan)), "links")
+    if plan.similarity is None:
+        found = C.spool(links(classes, plan, classes.count(), leaf), "links")
+    else:
+        found = similar_links(docs, classes, plan, classes.count(), leaf)
     linked = components(found).withColumnRenamed("root", "group")
     joined = C.spool(classes.drop("doc_id", "key").join(linked, "node", "left").withColumn("group", F.coalesce("group", "node")), "grouped")
     heads = joined.groupBy("group").agg(F.min("first").alias("head"))

@@ -192,3 +192,18 @@ def test_large_template_family(spark):
     rows, near = template_family(8, 4000, 200)
     group = {r.doc_id: r.component_id for r in S.near_groups(frame(spark, rows), S.similarity_plan()).collect()}
     assert [p for p in near if group[p[0]] != group[p[1]]] == []
+
+
+def test_few_shingles(spark):
+    """Short texts with a word more or less, down to a similarity of exactly 0.8, are grouped as by brute force."""
+    rng = random.Random(11)
+    rows = []
+    for i in range(150):
+        words = [f"s{i}_{k}" for k in range(rng.choice([3, 5, 6, 8, 8, 8, 9, 12, 20, 28]))]
+        rows += [" ".join(words), " ".join([*words, "more"]), " ".join([*words, "quite", "other", "ones"])]
+    rows += ["the same first words of all and then " + f"c{i}" for i in range(60)]
+    rows = [*enumerate(rows)]
+    sets = [set(S.hashes(t, 5).tolist()) for _, t in rows]
+    want = brute_groups([i for i, _ in rows], lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]))
+    got = {r.doc_id: r.component_id for r in S.near_groups(frame(spark, rows), S.similarity_plan()).collect()}
+    assert got == want

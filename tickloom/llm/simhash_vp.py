@@ -20,6 +20,10 @@ meet if one of 40 bands of 12 or 13 bits is equal, which at s = 0.8 happens for
 side aren't, and for what is left between, unless sure links connect it, the shingle sets themselves are compared. Shards hold all
 bits, so they report trees of sure links alone, and which fingerprints have a link that is left between to another tree. A
 second search, among these only, reports every such link between two groups of sure links.
+
+The formula is one for large sets. Pairs of which a text has at most FEW shingles are settled by the sets alone: of two sets of
+n and more shingles and similarity s, the first n - ceil(s n) + 1 by the order of hashes have one in common (likewise the
+other's), so they meet at one of these, and are compared there.
 """
 
 from __future__ import annotations
@@ -46,6 +50,8 @@ BLOCK = 8192
 LARGE = 4096
 #: Groups of equal bands up to this size are compared in whole, larger ones by a search that takes out what it reaches.
 SMALL = 48
+#: Sets up to this size are compared without fingerprints.
+FEW = 24
 
 
 @dataclass(frozen=True)
@@ -99,11 +105,17 @@ def _mixed(h: np.ndarray, word: int) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def features(text: str, plan: Plan) -> np.ndarray:
+    h = hashes(text, plan.shingle)
+    return np.unique(h) if plan.distinct else h
+
+
 def fingerprint(text: str, plan: Plan) -> bytes:
     """The words of the fingerprint, each big-endian."""
-    h = hashes(text, plan.shingle)
-    if plan.distinct:
-        h = np.unique(h)
+    return _print(features(text, plan), plan)
+
+
+def _print(h: np.ndarray, plan: Plan) -> bytes:
     counts = np.zeros((plan.words, 64), np.int64)
     for i in range(0, len(h), BLOCK):
         part = h[i : i + BLOCK]
@@ -114,17 +126,24 @@ def fingerprint(text: str, plan: Plan) -> bytes:
 
 
 def fingerprints(docs: DataFrame, plan: Plan) -> DataFrame:
-    """row_no, doc_id, key (of the text), print: a row per document."""
+    """row_no, doc_id, key (of the text), print, few (with a similarity, the sorted shingles of a set that a set of FEW can be
+    similar to): a row per document."""
     text = C.text_of()
     rows = docs.select(F.monotonically_increasing_id().alias("row_no"), F.col("doc_id").cast("long").alias("doc_id"), C.text_key().alias("key"), text.alias("text"))
 
+    most = 0 if plan.similarity is None else int(FEW / plan.similarity + 1e-9)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         C.release()
         for batch in batches:
-            prints = pa.array([fingerprint(t.as_py(), plan) for t in batch.column(3)], pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], prints], ["row_no", "doc_id", "key", "print"])
+            prints, few = [], []
+            for t in batch.column(3):
+                h = features(t.as_py(), plan)
+                prints.append(_print(h, plan))
+                few.append(h.tobytes() if 0 < len(h) <= most else None)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(prints, pa.binary()), pa.array(few, pa.binary())], ["row_no", "doc_id", "key", "print", "few"])
 
-    return rows.mapInArrow(run, "row_no long, doc_id long, key long, print binary")
+    return rows.mapInArrow(run, "row_no long, doc_id long, key long, print binary, few binary")
 
 
 class Tree:
@@ -423,8 +442,60 @@ def unsure_links(x: np.ndarray, roots: np.ndarray, mask: int, plan: Plan) -> np.
     return np.concatenate(out)
 
 
+def few_forest(sets: list[np.ndarray], least: float) -> list[tuple[int, int]]:
+    """Trees that connect what pairs of at least the similarity connect; the sets hold no value twice."""
+    sizes = np.array([len(v) for v in sets], np.int64)
+    left, out = np.arange(len(sets)), []
+    table = np.zeros((len(sets), sizes.max(initial=0)), np.uint64)
+    for i, v in enumerate(sets):
+        table[i, : len(v)] = v
+    held = np.arange(table.shape[1]) < sizes[:, None]
+    while len(left) > 1:
+        todo, left = [int(left[0])], left[1:]
+        while todo and len(left):
+            u = todo.pop()
+            common = (np.isin(table[left], sets[u]) & held[left]).sum(axis=1)
+            near = common >= least * (sizes[left] + sizes[u] - common)
+            found, left = left[near].tolist(), left[~near]
+            out += [(u, f) for f in found]
+            todo += found
+    return out
+
+
+def few_links(few: DataFrame, plan: Plan, n: int) -> DataFrame:
+    """a, b: nodes whose sets have the plan's similarity; enough to connect all that have. few: node, few (sorted shingles)."""
+    least, shards = plan.similarity, n // LEAF + 1
+
+    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = {"shard": [], "gram": [], "node": [], "own": []}
+            for node, own in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                h = np.frombuffer(own, np.uint64)
+                for gram in h[: len(h) - math.ceil(least * len(h) - 1e-9) + 1].tolist():
+                    out["shard"].append(gram % shards)
+                    out["gram"].append(gram - (1 << 63))
+                    out["node"].append(node)
+                    out["own"].append(own)
+            yield pa.RecordBatch.from_pydict(out, schema=pa.schema([("shard", pa.int64()), ("gram", pa.int64()), ("node", pa.int64()), ("own", pa.binary())]))
+
+    def solve(key, shard):
+        grams, nodes, own = shard.column("gram").to_numpy(), shard.column("node").to_numpy(), shard.column("own")
+        order = np.lexsort((nodes, grams))
+        a, b = [], []
+        for group in np.split(order, np.flatnonzero(np.diff(grams[order])) + 1):
+            if len(group) > 1:
+                for x, y in few_forest([np.frombuffer(own[int(i)].as_py(), np.uint64) for i in group], least):
+                    a.append(nodes[group[x]])
+                    b.append(nodes[group[y]])
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return few.select("node", "few").mapInArrow(prefixes, "shard long, gram long, node long, own binary").groupBy("shard").applyInArrow(solve, "a long, b long")
+
+
 def similar_links(docs: DataFrame, classes: DataFrame, plan: Plan, n: int, leaf: int = LEAF) -> DataFrame:
-    """a, b: nodes of texts of the plan's similarity; enough links to connect all that meet. classes: node, doc_id, key, print."""
+    """a, b: nodes of texts of the plan's similarity; enough links to connect all that meet. classes: node, doc_id, key, print, few."""
+    short = few_links(classes.where("few is not null"), plan, n)
+    classes = classes.where(F.coalesce(F.length("few"), F.lit(8 * FEW + 1)) > 8 * FEW)  # the rest is settled
     trees, bands = fit_trees(classes, plan, n, leaf), masks(plan)
 
     def first(key, shard):
@@ -439,7 +510,7 @@ def similar_links(docs: DataFrame, classes: DataFrame, plan: Plan, n: int, leaf:
 
     alone = classes.select("node", "print", F.col("node").alias("root"))
     found = C.spool(deal(alone, plan, trees, 0).groupBy("shard").applyInArrow(first, "a long, b long"), "links")
-    sure = found.where("a <> b")
+    sure = C.spool(found.where("a <> b").union(short), "sure")
     asked = found.where("a = b").select(F.col("a").alias("node")).distinct()
     roots = C.spool(components(sure), "roots")
     open_ = C.spool(classes.select("node", "print").join(asked, "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "open")
@@ -481,14 +552,14 @@ def near_groups(docs: DataFrame, plan: Plan = EXACT, leaf: int = LEAF) -> DataFr
     rows = C.spool(fingerprints(docs, plan), "prints")
     total = rows.count()
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_no"))
-    classes = rows.groupBy("print").agg(first.alias("first"), F.min(F.struct("row_no", "doc_id", "key")).alias("row"), F.count(F.lit(1)).alias("size"))
-    classes = C.spool(classes.select("print", "first", F.col("row.row_no").alias("node"), F.col("row.doc_id").alias("doc_id"), F.col("row.key").alias("key"), "size"), "classes")
+    classes = rows.groupBy("print").agg(first.alias("first"), F.min(F.struct("row_no", "doc_id", "key", "few")).alias("row"), F.count(F.lit(1)).alias("size"))
+    classes = C.spool(classes.select("print", "first", F.col("row.row_no").alias("node"), F.col("row.doc_id").alias("doc_id"), F.col("row.key").alias("key"), F.col("row.few").alias("few"), "size"), "classes")
     if plan.similarity is None:
         found = C.spool(links(classes, plan, classes.count(), leaf), "links")
     else:
         found = similar_links(docs, classes, plan, classes.count(), leaf)
     linked = components(found).withColumnRenamed("root", "group")
-    joined = C.spool(classes.drop("doc_id", "key").join(linked, "node", "left").withColumn("group", F.coalesce("group", "node")), "grouped")
+    joined = C.spool(classes.drop("doc_id", "key", "few").join(linked, "node", "left").withColumn("group", F.coalesce("group", "node")), "grouped")
     heads = joined.groupBy("group").agg(F.min("first").alias("head"))
     known = joined.join(heads, "group").select("print", "size", "group", F.col("head.doc_id").alias("component_id"), F.col("head.row_no").alias("first_row"))
-    return C.attach(rows, C.spool(known, "known"), "print", "size", total).drop("size")
+    return C.attach(rows.drop("few"), C.spool(known, "known"), "print", "size", total).drop("size")

@@ -117,3 +117,16 @@ def test_id_files(spark, bits):
         start += len(ids)
     assert len(got) == len(rows) and near >= len(rows) - 2 and manifest.count() > 3
     assert idfiles.read_ids(idfiles.write_ids(frame(spark, []), SINGLE, P.PATTERN, C.fresh_path(spark, "ids"))).count() == 0
+
+
+def test_added_tokens(spark, tmp_path):
+    """The query gives the tokenizer's added tokens the ids that the library gives them."""
+    from tickloom.llm import queries
+
+    t = Tokenizer.from_file(SINGLE)
+    rows = [*enumerate(["end of it.<|endoftext|>Next one", "<|endoftext|>", " <|endoftext|> <|endoftext|>a", "<|endoftext> |>", *texts(20)])]
+    frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: (r.n_tokens, r.ids_crc32) for r in queries.op9_idfiles(spark, str(tmp_path)).collect()}
+    for i, x in rows:
+        ids = [*t.encode(x, add_special_tokens=False).ids, 0]
+        assert got[i] == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))

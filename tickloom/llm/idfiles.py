@@ -149,9 +149,10 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
-def library_encoder(path: str, pattern: str) -> Callable[[str], np.ndarray]:
+def library_encoder(path: str, pattern: str, added: bool = False) -> Callable[[str], np.ndarray]:
     """A text to ids by the tokenizers library. Matches of the pattern are tokenized one by one in any case, so the library's
-    model gets each that isn't remembered by itself."""
+    model gets each that isn't remembered by itself. added: texts that hold one of the tokenizer's added tokens go to the library
+    as a whole, which gives these their own ids; else they are text like any other."""
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -166,10 +167,17 @@ def library_encoder(path: str, pattern: str) -> Callable[[str], np.ndarray]:
         return array(code, [t.id for t in tokenize(match.encode().decode("latin-1").translate(letters))]).tobytes()
 
     ids = Chunks(pattern, piece, *REMEMBERED).ids
-    return lambda text: np.frombuffer(ids(text), kind)
+    own = [t.content for t in tokenizer.get_added_tokens_decoder().values()] if added else []
 
+    def encode(text: str) -> np.ndarray:
+        if any(t in text for t in own):
+            return np.array(tokenizer.encode(text, add_special_tokens=False).ids, kind)
+        return np.frombuffer(ids(text), kind)
 
-def write_ids(docs: DataFrame, path: str, pattern: str, out: str, bits: bool = False, file_docs: int = FILE_DOCS) -> DataFrame:
+    return encode
+
+
+def write_ids(docs: DataFrame, path: str, pattern: str, out: str, bits: bool = False, file_docs: int = FILE_DOCS, added: bool = False) -> DataFrame:
     """Encode and write; returns the manifest: file_no, path, n_docs, n_ids, start (ids of all files before).
 
     Texts are shuffled once, to the cell of their id. A task writes a file per cell, under a name of its own, and only files
@@ -181,7 +189,7 @@ def write_ids(docs: DataFrame, path: str, pattern: str, out: str, bits: bool = F
     end = np.array([END])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = C.hold(("idfiles", path, pattern), lambda: library_encoder(path, pattern))
+        encode = C.hold(("idfiles", path, pattern, added), lambda: library_encoder(path, pattern, added))
         fs, folder = C.open_fs(out)
         fs.create_dir(folder, recursive=True)
         now, name, stream, writer = None, "", None, None

@@ -55,7 +55,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_idfiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, out = C.table(spark, sf_dir, "documents"), C.fresh_path(spark, "ids")
-    return idfiles.read_ids(idfiles.write_ids(docs, tokenizers.path("byte_bpe_50k.json"), tokenizers.PATTERN, out))
+    return idfiles.read_ids(idfiles.write_ids(docs, tokenizers.path("byte_bpe_50k.json"), tokenizers.PATTERN, out, added=True))
 
 
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

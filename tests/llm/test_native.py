@@ -241,3 +241,54 @@ def test_posting_lists(spark, docs):
     got = {(r.trigram, r.doc_id) for r in secrets.postings(docs.where("doc_id < 7 or doc_id > 7")).collect()}
     want = {(t.lower()[i : i + 3], d) for d, t, _ in TEXTS if t and d and d != 7 for i in range(len(t) - 2)}
     assert got == want
+
+
+def test_index_in_another_session(spark, docs):
+    """The index is opened as it was made, whatever the size of the next batch, and asking for another number of buckets fails."""
+    path = C.fresh_path(spark, "index")
+    many = frame(spark, [(i, f"text number {i}", "s") for i in range(200)])
+    assert exact_dedup.DigestIndex(spark, path, 8).dedup(many, "a").where("kept").count() == 200
+    other = spark.newSession()
+    again = frame(other, [(1000 + i, f"text  number {i}", "s") for i in range(210)])
+    got = exact_dedup.exact_dedup(again, path, "b")
+    assert sorted(r.doc_id for r in got.where("kept").collect()) == list(range(1200, 1210))
+    index = exact_dedup.DigestIndex(other, path)
+    assert index.buckets == 8 and index.entries().count() == 210
+    with pytest.raises(ValueError):
+        exact_dedup.DigestIndex(other, path, 4)
+    with pytest.raises(ValueError):
+        exact_dedup.exact_dedup(many, path)
+
+
+def test_batch_runs_again(spark, monkeypatch):
+    """A batch that failed after its append, or in the middle of it, keeps what it kept, and the index holds each digest once."""
+    path = C.fresh_path(spark, "index")
+    first, second = frame(spark, [(i, f"t {i}", "s") for i in range(40)]), frame(spark, [(100 + i, f"t{i}", "s") for i in range(20, 60)])
+    exact_dedup.exact_dedup(first, path, "a").count()
+    want = sorted(map(tuple, exact_dedup.exact_dedup(second, path, "b").drop("row_no").collect()))
+    assert sum(r[3] for r in want) == 20
+    index = exact_dedup.DigestIndex(spark, path)
+    half = index.entries().where("batch <> 'b' or keep_id % 2 = 0").collect()
+    broken = C.fresh_path(spark, "index")
+    own = exact_dedup.DigestIndex(spark, broken, 4)
+    spark.createDataFrame(half, index.entries().schema).select(*own.entries().columns).repartition(4, "digest").write.insertInto(own.name)
+    for at in (path, broken, path):
+        assert sorted(map(tuple, exact_dedup.exact_dedup(second, at, "b").drop("row_no").collect())) == want
+        assert exact_dedup.DigestIndex(spark, at).entries().count() == 60
+    monkeypatch.setattr(exact_dedup, "APPENDS", 1)
+    assert exact_dedup.exact_dedup(first, path, "c").where("kept").count() == 0
+    packed = exact_dedup.DigestIndex(spark, path)
+    assert packed.folder == "entries-1" and packed.entries().count() == 60 and len(packed.entries().inputFiles()) <= packed.buckets
+    assert sorted(map(tuple, exact_dedup.exact_dedup(second, path, "b").drop("row_no").collect())) == want
+
+
+def test_least_long(spark):
+    got = exact_dedup.exact_dedup(frame(spark, [(-(1 << 63), "a b", "s"), (5, "a b", "s"), (None, "a b", "s")]))
+    assert {r.doc_id: (r.keep_id, r.kept) for r in got.collect()} == {-(1 << 63): (-(1 << 63), True), 5: (-(1 << 63), False), None: (-(1 << 63), False)}
+
+
+def test_words_before_line_separators(spark):
+    texts = ["a  ", "a \u0085", "  ", "a  ", " a b ", "", " \r\n ", "a\n", "a \r\u0085\n"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = {r.i: r.n for r in rows.select("i", C.n_words(C.text_of("t")).alias("n")).collect()}
+    assert got == {i: len([w for w in re.split("[ \t-\r]+", t) if w]) for i, t in enumerate(texts)}

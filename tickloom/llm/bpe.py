@@ -4,8 +4,8 @@ The merges of a rank table are compiled, state by state as texts ask for them, i
 the bytes whose tokens aren't certain yet; for each end of those bytes it has the token that BPE would end with there. A
 byte makes all tokens certain that every continuation shares (up to the last common end of all places at which a longer
 token may have begun), and these are emitted. A register holds the last certain token; it guards arcs on which a new token
-would stand right after it. Lookahead is bounded by the longest token. The end of a match emits the rest. Null and empty texts have no ids; other columns aren't read; rows with null or
-repeated ids are rows of their own; an empty table gives no rows.
+would stand right after it. Lookahead is bounded by the longest token. The end of a match emits the rest. Null and empty
+texts have no ids; other columns aren't read; rows with null or repeated ids are rows of their own; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -29,8 +29,8 @@ from .pretokens import Chunks
 STATES = 80_000
 #: Pairs of tokens held at most of which it is known whether they can be neighbours.
 PAIRS = 200_000
-#: Chunks and matches remembered, by a generation.
-CHUNKS, MATCHES = 200_000, 40_000
+#: Bytes of chunks and of matches remembered, by a generation.
+CHUNKS, MATCHES = 40_000_000, 8_000_000
 #: Ids decoded at a time.
 DECODE_BLOCK = 4096
 
@@ -67,7 +67,8 @@ class State:
 
 @dataclass(frozen=True)
 class Bounds:
-    """What a worker holds at most: states, pairs of tokens, chunks and matches of a generation. No bound changes a result."""
+    """What a worker holds at most: states, pairs of tokens, bytes of chunks and of matches of a generation. No bound changes a
+    result."""
 
     states: int = STATES
     pairs: int = PAIRS
@@ -266,7 +267,8 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, extra: tuple[str,
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256: texts encoded, their ids decoded again; whole texts, one at a time in memory."""
+    """doc_id, n_tokens, ids_sha256, decoded_sha256: texts encoded, their ids decoded again as a stream, piece by piece through the
+    UTF-8 machine; the digest is of the pieces' bytes. Whole texts, one at a time in memory."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -278,8 +280,8 @@ def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
                 data = encode(text)
                 ids = array("I", data)
                 decoded = hashlib.sha256()
-                for part in decoder.data(ids):
-                    decoded.update(part)
+                for part in decoder.stream(ids):
+                    decoded.update(part.encode())
                 counts.append(len(ids))
                 first.append(hashlib.sha256(data).hexdigest())
                 second.append(decoded.hexdigest())

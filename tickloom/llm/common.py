@@ -86,9 +86,40 @@ def fresh_path(spark: SparkSession, tag: str) -> str:
 
 
 def remove(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    at, fs = _file(spark, path)
+    fs.delete(at, True)
+
+
+def _file(spark: SparkSession, path: str):
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def read_small(spark: SparkSession, path: str) -> str | None:
+    """A small file's text by Spark's file systems; None if there is none."""
+    at, fs = _file(spark, path)
+    if not fs.exists(at):
+        return None
+    stream = fs.open(at)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def write_small(spark: SparkSession, path: str, text: str) -> None:
+    """Written beside the path and renamed over it, so that no half of it is ever read."""
+    at, fs = _file(spark, path)
+    beside = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}")
+    stream = fs.create(beside, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    context = spark.sparkContext._jvm.org.apache.hadoop.fs.FileContext.getFileContext(beside.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    option = spark.sparkContext._gateway.new_array(getattr(spark.sparkContext._jvm, "org.apache.hadoop.fs.Options$Rename"), 1)
+    option[0] = getattr(spark.sparkContext._jvm, "org.apache.hadoop.fs.Options$Rename").OVERWRITE
+    context.rename(beside, at, option)
 
 
 @atexit.register
@@ -114,7 +145,7 @@ def text_of(name: str = "text") -> Column:
 
 def n_words(text: Column) -> Column:
     """Maximal runs of non-blank characters."""
-    trimmed = F.regexp_replace(text, f"^{SPACE}|{SPACE}$", "")
+    trimmed = F.regexp_replace(text, rf"\A{SPACE}|{SPACE}\z", "")  # $ would also match before a line separator at the end
     return F.when(F.length(trimmed) == 0, F.lit(0)).otherwise(F.size(F.split(trimmed, SPACE))).cast("long")
 
 

@@ -31,8 +31,8 @@ LEVEL = 1
 END = 0
 #: Documents to a file.
 FILE_DOCS = 4096
-#: Chunks and matches remembered, by a generation: the library is asked for what isn't.
-REMEMBERED = (600_000, 300_000)
+#: Bytes of chunks and of matches remembered, by a generation: the library is asked for what isn't.
+REMEMBERED = (100_000_000, 50_000_000)
 #: Texts that are Python objects at a time.
 TOGETHER = 512
 

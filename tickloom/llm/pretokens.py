@@ -8,33 +8,39 @@ text that has one goes through the pattern as a whole.
 from __future__ import annotations
 
 from collections.abc import Callable
+from sys import getsizeof
 
 import regex
 
-#: Entries of a generation; two generations are held, so memory is bounded whatever the texts (200 bytes an entry, about).
-GENERATION = 100_000
+#: Bytes of a generation; two generations are held. Keys of more characters than LONG aren't remembered, and a generation ends
+#: in the middle of a text if it is full, so memory is bounded whatever the texts.
+GENERATION = 20_000_000
+LONG = 256
+#: Bytes of an entry beside its key and its value, about.
+ENTRY = 120
 #: Marks that end a chunk often.
 MARKS = frozenset(".,;:!?")
 
 
 class Memory:
-    """A dict of two generations: what isn't asked for during a whole generation is forgotten. make(key) fills it."""
+    """A dict of two generations of so many bytes: what isn't asked for during a whole generation is forgotten. make(key) fills it."""
 
-    def __init__(self, make: Callable[[str], bytes | None], size: int = GENERATION):
-        self.make, self.size, self.old = make, size, {}
+    def __init__(self, make: Callable[[str], object], size: int = GENERATION):
+        self.make, self.size, self.old, self.held = make, size, {}, 0
         memory = self
 
         class Young(dict):
             def __missing__(self, key):
                 value = memory.old[key] if key in memory.old else memory.make(key)
-                self[key] = value
+                if len(key) <= LONG:
+                    if memory.held > memory.size:
+                        memory.old, memory.held = dict(self), 0
+                        self.clear()  # the same dict goes on, since a text may be on its way through it
+                    self[key] = value
+                    memory.held += ENTRY + getsizeof(key) + getsizeof(value)
                 return value
 
-        self.kind, self.young = Young, Young()
-
-    def settle(self) -> None:
-        if len(self.young) > self.size:
-            self.old, self.young = dict(self.young), self.kind()
+        self.young = Young()
 
 
 class Chunks:
@@ -59,8 +65,6 @@ class Chunks:
         return b"".join([known[p] for p in self.find(text)])
 
     def ids(self, text: str) -> bytes:
-        self.pieces.settle()
-        self.chunks.settle()
         first, *rest = text.split(" ")
         if first and first[-1].isspace():
             return self._join(text)

@@ -148,7 +148,6 @@ class Scorer:
 
     def features(self, text: str) -> tuple[float, ...]:
         """All clauses' scores in sum (logarithm), the largest, the number of clauses that match, matches per hundred words."""
-        self.symbols.settle()
         get = self.symbols.young.__getitem__
         total, best, clauses, matches, n = 0.0, 0.0, 0, 0, 0
         for line in text.lower().split("\n"):

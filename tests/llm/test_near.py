@@ -207,3 +207,65 @@ def test_few_shingles(spark):
     want = brute_groups([i for i, _ in rows], lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]))
     got = {r.doc_id: r.component_id for r in S.near_groups(frame(spark, rows), S.similarity_plan()).collect()}
     assert got == want
+
+
+def test_trees_prune_and_overlap():
+    """A pair within the radius meets in some leaf, rows at a boundary go to two, and most branches are pruned."""
+    rng = np.random.default_rng(1)
+    base = rng.integers(0, 1 << 63, 20_000, dtype=np.uint64) << np.uint64(1)
+    mask = (1 << 32) - 1
+    tree = S.Tree(base, mask, 500, 0, radius=1)
+    flipped = base ^ (np.uint64(1) << rng.integers(0, 32, len(base)).astype(np.uint64))
+    leaves = [set() for _ in range(2 * len(base))]
+    for leaf, idx in tree.route(np.concatenate([base, flipped])):
+        for i in idx.tolist():
+            leaves[i].add(leaf)
+    assert tree.leaves > 30 and all(leaves[i] & leaves[i + len(base)] for i in range(len(base)))
+    copies = sum(map(len, leaves)) / len(leaves)
+    assert 1.2 < copies < 4
+
+
+@pytest.mark.parametrize("size", [300, 3000])
+def test_shards(size):
+    """Random prints, a dense family and chains, against all pairs."""
+    rng = np.random.default_rng(size)
+    x = rng.integers(0, 1 << 63, size, dtype=np.uint64)
+    centre = x[0]
+    family = [int(centre) ^ sum(1 << int(b) for b in rng.choice(64, rng.integers(1, 4), replace=False)) for _ in range(size // 3)]
+    chain = [int(x[1]) ^ ((1 << k) - 1) for k in range(0, 60, 3)]
+    x = np.unique(np.concatenate([x, np.array(family + chain, np.uint64)]))
+    near = np.bitwise_count(x[:, None] ^ x[None, :]) <= 3
+    halves = [((1 << 32) - 1), ((1 << 32) - 1) << 32]
+    root = list(range(len(x)))
+
+    def find(n):
+        while root[n] != n:
+            n = root[n]
+        return n
+
+    for mask in halves:
+        for a, b in S.shard_links(x.reshape(-1, 1), mask, 1, 3):
+            assert near[a, b]
+            p, q = find(a), find(b)
+            root[max(p, q)] = min(p, q)
+    assert all(find(a) == find(b) for a, b in np.argwhere(near))
+
+
+def test_wide_groups(monkeypatch):
+    """Cut by further bits, a large group of unlike texts gives the pairs that comparing all gives."""
+    rng = np.random.default_rng(2)
+    plan = S.similarity_plan()
+    base = rng.integers(0, 1 << 63, (3000, 8), dtype=np.uint64)
+    near = base[:600].copy()
+    for row in near:
+        for bit in rng.choice(512, 78, replace=False):
+            row[bit // 64] ^= np.uint64(1) << np.uint64(bit % 64)
+    x = np.concatenate([base, near])
+    x[:, 0] &= ~np.uint64(0xFFF)
+    asked = [(a, b) for a in range(600) for b in [3000 + a] if len(S._bits(x, np.array([a]), np.array([b]), plan)[0])]
+    found, dense = S._met(x, 0xFFF, plan)
+    met = set(map(tuple, found[:, :2].tolist())) | {(b, a) for a, b in found[:, :2].tolist()}
+    assert len(asked) > 550 and sum(p in met for p in asked) >= 0.99 * len(asked) and max(map(len, dense), default=0) < 100
+    monkeypatch.setattr(S, "WIDE", 10_000)
+    found, dense = S._met(x, 0xFFF, plan)
+    assert len(dense) == 1 and len(dense[0]) == len(x)

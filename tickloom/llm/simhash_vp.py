@@ -6,17 +6,20 @@ bit of the fingerprint is 1 if it is set in over half of the features' hashes. F
 a group is what links connect. Rows that repeat an id are rows of their own; null ids come after all others as a group's
 smallest id; an empty table gives no rows; only doc_id and text are read.
 
-Search: fingerprints are made distinct first, so copies are never paired. The bits are cut into bands; of two
-fingerprints within the radius some band differs in at most floor(radius / bands) bits, the band's radius. Each band has a
-vantage-point tree over the Hamming distance on its bits, fitted on a bounded sample; its leaves are the shards. All
-fingerprints go to their own leaf, and by the triangle bound |d(x, v) - d(y, v)| <= d(x, y) also to the leaves whose side
-of a boundary lies within the band's radius (none, with four bands and radius 3: one branch is pruned at every node). A
-shard links its fingerprints and reports a spanning forest of the links, never all pairs of a group.
+Search: fingerprints are made distinct first, so copies are never paired. The bits are cut into two halves; of two
+fingerprints within radius 3 some half differs in at most one bit, the half's radius. Each half has a vantage-point tree
+over the Hamming distance on its bits, fitted on a bounded sample; its leaves are the shards. A fingerprint goes down to its
+own leaf, and where it lies inside a boundary by less than the radius, to the outer side too: by the triangle bound
+|d(x, v) - d(y, v)| <= d(x, y) a pair within the radius then meets in some leaf, and all other branches are pruned. A shard
+goes on in the same way, by smaller trees over the half and, where that has nothing left to tell apart, over all
+bits with the whole radius. What is left is compared, and links are reported, of dense groups a spanning forest of them only.
 
 Near copies by similarity of shingle sets (the pipeline's stage) take the same way with longer fingerprints: over 5-word
 shingles each of the 512 bits of two texts of Jaccard similarity s differs with probability acos(2 s / (1 + s)) / pi. Two texts
-meet if one of 40 bands of 12 or 13 bits is equal, which at s = 0.8 happens for 99.5 % of pairs; a pair that meets is compared on
-128 bits, then on all. Pairs whose bits are three deviations on the near side of 0.8 are linked, those as far on the other
+meet if one of 40 bands of 12 or 13 bits is equal, which at s = 0.8 happens for 99.5 % of pairs (a radius that a whole word would
+need leaves a tree nothing to prune; that of these bands is 0, so their trees only deal). Of equal bands, a large group of unlike
+texts is cut again and again by further bits drawn from all the others, as often as makes all but MISS of the similar pairs meet, so
+the comparisons of a text don't grow with the texts as such. A pair that meets is compared on 128 bits, then on all. Pairs whose bits are three deviations on the near side of 0.8 are linked, those as far on the other
 side aren't, and for what is left between, unless sure links connect it, the shingle sets themselves are compared. Shards hold all
 bits, so they report trees of sure links alone, and which fingerprints have a link that is left between to another tree. A
 second search, among these only, reports every such link between two groups of sure links.
@@ -46,8 +49,11 @@ SEED = 42
 SAMPLE, LEAF = 1 << 18, 2048
 #: Shingles whose bits are counted at a time.
 BLOCK = 8192
-#: A group of equal bands over this size is cut again by the rest of its bits.
-LARGE = 4096
+#: Rows of a shard that are compared with each other at once; more are parted by a tree first.
+LARGE = 256
+#: Groups of equal bands over this size, of which less than DENSE of the pairs are near, are cut by further bits, into parts of
+#: about PART rows, and so often that a pair of the plan's similarity is missed with probability MISS.
+WIDE, DENSE, PART, MISS = 1024, 0.25, 16, 1e-4
 #: Groups of equal bands up to this size are compared in whole, larger ones by a search that takes out what it reaches.
 SMALL = 48
 #: Sets up to this size are compared without fingerprints.
@@ -62,7 +68,7 @@ class Plan:
 
     shingle: int = 3
     words: int = 1
-    bands: int = 4
+    bands: int = 2
     radius: int = 3
     distinct: bool = False
     near: int | None = None
@@ -146,46 +152,53 @@ def fingerprints(docs: DataFrame, plan: Plan) -> DataFrame:
     return rows.mapInArrow(run, "row_no long, doc_id long, key long, print binary, few binary")
 
 
+ALL = (1 << 64) - 1
+
+
+def _bound(own: np.ndarray, mask: int, radius: int, rng) -> tuple[int, int, np.ndarray, np.ndarray] | None:
+    """A vantage point, a bound on the distance from it, and who goes inside (d <= bound) and outside (d > bound - radius, so that
+    what lies at the boundary goes to both); the best of a few. None if no boundary saves a sixth of the comparisons."""
+    best, least = None, 5 / 6 * len(own) ** 2
+    for v in rng.choice(own, min(4, len(own)), replace=False):
+        d = np.bitwise_count((own ^ v) & np.uint64(mask)).astype(np.int16)
+        middle = int(np.median(d))
+        for bound in (middle - 1, middle, middle + radius):
+            inside, outside = d <= bound, d > bound - radius
+            cost = int(inside.sum()) ** 2 + int(outside.sum()) ** 2
+            if cost < least and inside.any() and outside.any():
+                best, least = (int(v), bound, inside, outside), cost
+    return best
+
+
 class Tree:
-    """A vantage-point tree over d(x, v) = bits of (x ^ v) & mask. Inside is d <= bound. Children below zero are leaves."""
+    """A vantage-point tree over d(x, v) = bits of (x ^ v) & mask. Children below zero are leaves."""
 
-    def __init__(self, values: np.ndarray, mask: int, leaf: int, seed: int):
+    def __init__(self, values: np.ndarray, mask: int, leaf: int, seed: int, radius: int = 0):
         rng = np.random.default_rng(seed)
-        self.mask = np.uint64(mask)
-        self.nodes: list[list[int]] = []
-        self.leaves = 0
-        values = np.unique(values & self.mask)
+        self.mask, self.radius, self.leaves = np.uint64(mask), radius, 0
+        points, bounds, children = [], [], []
         todo = [(values, None, 0)]
         while todo:
             own, parent, side = todo.pop()
-            split = self._split(own, rng) if len(own) > leaf else None
+            split = _bound(own, mask, radius, rng) if len(own) > leaf else None
             if split is None:
                 self.leaves += 1
                 at = -self.leaves
             else:
-                v, bound, inside = split
-                at = len(self.nodes)
-                self.nodes.append([v, bound, 0, 0])
-                todo += [(own[inside], at, 2), (own[~inside], at, 3)]
+                at = len(points)
+                points.append(split[0])
+                bounds.append(split[1])
+                children.append([0, 0])
+                todo += [(own[split[2]], at, 0), (own[split[3]], at, 1)]
             if parent is not None:
-                self.nodes[parent][side] = at
-
-    def _distance(self, x: np.ndarray, v: int) -> np.ndarray:
-        return np.bitwise_count((x ^ np.uint64(v)) & self.mask)
-
-    def _split(self, own: np.ndarray, rng) -> tuple[int, int, np.ndarray] | None:
-        best = None
-        for v in rng.choice(own, min(4, len(own)), replace=False):
-            d = self._distance(own, v)
-            for bound in {int(np.median(d)), int(np.median(d)) - 1}:
-                n = int((d <= bound).sum())
-                if 0 < n < len(own) and (best is None or abs(2 * n - len(own)) < best[0]):
-                    best = (abs(2 * n - len(own)), int(v), bound, d <= bound)
-        return best and best[1:]
-
-    def route(self, x: np.ndarray, radius: int) -> list[tuple[int, np.ndarray]]:
-        """(leaf, positions in x): each x in its own leaf and in all that the ball of the radius around it may touch."""
-        if not self.nodes:
+                children[parent][side] = at
+        self.points, self.bounds = np.array(points, np.uint64), np.array(bounds, np.int16)
+        self.children = np.array(children, np.int32).reshape(-1, 2)
+
+    def route(self, x: np.ndarray) -> list[tuple[int, np.ndarray]]:
+        """(leaf, positions in x): each x in its own leaf and, from inside, in all that lie within the radius. Two within the radius
+        of each other are in one leaf together: at a node both are inside, or both outside, or the inner one goes along."""
+        if not len(self.points):
             return [(0, np.arange(len(x)))]
         out, todo = [], [(0, np.arange(len(x)))]
         while todo:
@@ -195,9 +208,9 @@ class Tree:
             if at < 0:
                 out.append((-at - 1, idx))
                 continue
-            v, bound, inside, outside = self.nodes[at]
-            d = self._distance(x[idx], v).astype(np.int64)
-            todo += [(inside, idx[d - radius <= bound]), (outside, idx[d + radius > bound])]
+            d = np.bitwise_count((x[idx] ^ self.points[at]) & self.mask).astype(np.int16)
+            inside, outside = self.children[at].tolist()
+            todo += [(inside, idx[d <= self.bounds[at]]), (outside, idx[d > self.bounds[at] - self.radius])]
         return out
 
 
@@ -214,7 +227,12 @@ def fit_trees(classes: DataFrame, plan: Plan, n: int, leaf: int) -> list[Tree]:
     got = classes.select("print").sample(fraction=share, seed=SEED).limit(SAMPLE // plan.words).toArrow().column(0)
     some = np.frombuffer(b"".join(v.as_py() for v in got), ">u8").astype(np.uint64).reshape(-1, plan.words)
     per_leaf = max(1, int(leaf * share))
-    return [Tree(some[:, w], mask, per_leaf, i) for i, (w, mask) in enumerate(masks(plan))]
+    return [Tree(some[:, w], mask, per_leaf, i, _band_radius(plan)) for i, (w, mask) in enumerate(masks(plan))]
+
+
+def _band_radius(plan: Plan) -> int:
+    """One word: what some band of a pair within the radius is within. More words: a band is to be equal."""
+    return plan.radius // plan.bands if plan.words == 1 else 0
 
 
 def _centre(x: np.ndarray) -> int:
@@ -271,60 +289,43 @@ def _spanning(pairs: np.ndarray) -> np.ndarray:
     return pairs[keep]
 
 
-def _small_links(x: np.ndarray, values: np.ndarray, order: np.ndarray, limit: int) -> np.ndarray:
-    """A spanning forest of the links within small groups, compared at all distances in the sorted order, each at once."""
-    out = [np.zeros((0, 3), np.int64)]
-    for step in range(1, min(SMALL, len(order))):
-        left, right = order[:-step], order[step:]
-        same = values[left] == values[right]
-        if not same.any():
-            break
-        left, right = left[same], right[same]
-        bits = np.bitwise_count(x[left] ^ x[right]).sum(axis=1, dtype=np.int64)
-        near = bits <= limit
-        out.append(np.column_stack([left[near], right[near], bits[near]]))
-    pairs = np.concatenate(out)
-    return _spanning(pairs[np.lexsort((pairs[:, 1], pairs[:, 0], pairs[:, 2]))][:, :2])
-
-
 def shard_links(x: np.ndarray, mask: int, band_radius: int, limit: int) -> np.ndarray:
-    """Links within a shard as pairs of positions; word 0 of a row has the band. With band radius 0 only rows with equal bands
-    need to be compared. A very large group is cut by its other bits, of which some part is equal too in every pair that is left."""
-    if not len(x):
-        return np.zeros((0, 2), np.int64)
-    if band_radius:
-        return np.array(forest(x, limit), np.int64).reshape(-1, 2)
-    values = x[:, 0] & np.uint64(mask)
-    order, large = _equal_groups(values)
-    out = [_small_links(x, values, order, limit)]
-    for group in large:
-        own = x[group]
-        if len(group) <= LARGE:
-            out.append(group[np.array(forest(own, limit), np.int64).reshape(-1, 2)])
+    """Links of at most limit bits as pairs of positions, enough to connect all that have any, of rows whose band (in word 0) is
+    within its radius. Rows are parted by vantage points as by a tree, over the band, then over all bits; the parts are compared."""
+    rng = np.random.default_rng(len(x))
+    out, todo = [np.zeros((0, 2), np.int64)], [(np.arange(len(x)), mask, band_radius)]
+    while todo:
+        idx, by, radius = todo.pop()
+        own = x[idx, 0]
+        if len(idx) <= LARGE:
+            near = np.bitwise_count(own[:, None] ^ own[None, :]) <= limit
+            if near.sum() <= 8 * len(idx):
+                out.append(idx[np.argwhere(np.triu(near, 1))])
+                continue
+        elif split := _bound(own, by, radius, rng):
+            todo += [(idx[split[2]], by, radius), (idx[split[3]], by, radius)]
+            continue
+        elif by != ALL:
+            todo.append((idx, ALL, limit))
             continue
-        rest = [b for b in range(64) if not mask >> b & 1]
-        for part in np.array_split(rest, limit + 1):
-            values_in = own[:, 0] & np.uint64(sum(1 << int(b) for b in part))
-            order_in, large_in = _equal_groups(values_in)
-            out.append(group[_small_links(own, values_in, order_in, limit)])
-            out += [group[g[np.array(forest(own[g], limit), np.int64).reshape(-1, 2)]] for g in large_in]
+        out.append(idx[np.array(forest(x[idx], limit), np.int64).reshape(-1, 2)])
     return np.concatenate(out)
 
 
 def links(classes: DataFrame, plan: Plan, n: int, leaf: int = LEAF) -> DataFrame:
     """a, b: nodes whose fingerprints, of one word, are within the radius; enough links to connect all that are. classes: node, print."""
-    bands, band_radius, limit = masks(plan), plan.radius // plan.bands, plan.radius
+    bands, band_radius, limit = masks(plan), _band_radius(plan), plan.radius
 
     def solve(key, shard):
         nodes, x, _ = _members(shard)
         at = shard_links(x, bands[key[0].as_py() % len(bands)][1], band_radius, limit)
         return pa.table({"a": nodes[at[:, 0]], "b": nodes[at[:, 1]]})
 
-    dealt = deal(classes.select("node", "print", F.col("node").alias("root")), plan, fit_trees(classes, plan, n, leaf), band_radius)
+    dealt = deal(classes.select("node", "print", F.col("node").alias("root")), plan, fit_trees(classes, plan, n, leaf))
     return dealt.groupBy("shard").applyInArrow(solve, "a long, b long")
 
 
-def deal(classes: DataFrame, plan: Plan, trees: list[Tree], band_radius: int) -> DataFrame:
+def deal(classes: DataFrame, plan: Plan, trees: list[Tree]) -> DataFrame:
     """shard, node, root, own: the words of the fingerprint from the band's on. classes: node, print, root."""
     bands, words = masks(plan), plan.words
 
@@ -335,7 +336,7 @@ def deal(classes: DataFrame, plan: Plan, trees: list[Tree], band_radius: int) ->
             nodes, roots = batch.column(0).to_numpy(), batch.column(2).to_numpy()
             x = np.frombuffer(b"".join(v.as_py() for v in batch.column(1)), ">u8").astype(np.uint64).reshape(-1, words)
             for b, (w, _) in enumerate(bands):
-                for leaf_no, idx in trees[b].route(x[:, w], band_radius):
+                for leaf_no, idx in trees[b].route(x[:, w]):
                     own = np.roll(x[idx], -w, axis=1).tobytes()
                     own = pa.FixedSizeBinaryArray.from_buffers(pa.binary(8 * words), len(idx), [None, pa.py_buffer(own)]).cast(pa.binary())
                     columns = [pa.array(np.full(len(idx), leaf_no * len(bands) + b, np.int64)), pa.array(nodes[idx]), pa.array(roots[idx]), own]
@@ -396,18 +397,59 @@ def _sure_forest(x: np.ndarray, group: np.ndarray, plan: Plan) -> tuple[list[tup
     return out, open_
 
 
-def sure_links(x: np.ndarray, mask: int, plan: Plan) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of rows that connect what sure links connect among rows of equal bands; the rows with an unsure link to another tree."""
+def _unlike(x: np.ndarray, group: np.ndarray, plan: Plan) -> bool:
+    """Is the group large, and are few of its pairs near, by a sample? It decides how pairs are found, not which."""
+    if len(group) <= WIDE:
+        return False
+    some = x[np.random.default_rng(len(group)).choice(group, 128, replace=False)]
+    near = np.bitwise_count(some[:, None, :2] ^ some[None, :, :2]).sum(axis=2, dtype=np.int64) <= plan.near
+    return near.mean() < DENSE
+
+
+def _cut(x: np.ndarray, group: np.ndarray, plan: Plan) -> Iterator[tuple[np.ndarray, list[np.ndarray]]]:
+    """A large group cut by bits drawn from the words without the band, once and again: the pairs within the radii, with their
+    bits, of the small parts, and the parts that are still large."""
+    equal = 1 - math.acos(2 * plan.similarity / (1 + plan.similarity)) / math.pi
+    drawn = max(1, (len(group) // PART).bit_length() - 1)
+    rng, own = np.random.default_rng(drawn), x[group]
+    for _ in range(math.ceil(math.log(MISS) / math.log1p(-(equal**drawn)))):
+        at = rng.choice(64 * (x.shape[1] - 1), drawn, replace=False)
+        values = np.zeros(len(group), np.uint64)
+        for w in np.unique(at // 64).tolist():
+            picked = sum(1 << int(b) for b in at[at // 64 == w] % 64)
+            values = _mixed(values ^ (own[:, w + 1] & np.uint64(picked)), w + 1)
+        order, large = _equal_groups(values)
+        pairs = _small_pairs(own, values, order, plan)
+        pairs[:, :2] = group[pairs[:, :2]]
+        yield pairs, [group[g] for g in large]
+
+
+def _met(x: np.ndarray, mask: int, plan: Plan) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Pairs within the radii, with their bits, of rows of equal bands, from small groups; the groups that are still to be compared."""
     values = x[:, 0] & np.uint64(mask)
     order, large = _equal_groups(values)
-    pairs = _small_pairs(x, values, order, plan)
+    found, dense = [_small_pairs(x, values, order, plan)], []
+    for group in large:
+        if not _unlike(x, group, plan):
+            dense.append(group)
+            continue
+        for pairs, parts in _cut(x, group, plan):
+            found.append(pairs)
+            dense += parts
+    return np.concatenate(found), dense
+
+
+def sure_links(x: np.ndarray, mask: int, plan: Plan) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows that connect what sure links connect among rows of equal bands; the rows with an unsure link to another tree."""
+    found, dense = _met(x, mask, plan)
+    pairs = np.unique(found, axis=0)
     pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0], pairs[:, 2]))]
     sure = pairs[:, 2] <= plan.sure
     tree = _spanning(pairs[sure, :2])
     root = _tree_of(len(x), tree)
     unsure = pairs[~sure, :2]
     out, open_ = [tree], [unsure[root[unsure[:, 0]] != root[unsure[:, 1]]].reshape(-1)]
-    for group in large:
+    for group in dense:
         own, asked = _sure_forest(x, group, plan)
         out.append(np.array(own, np.int64).reshape(-1, 2))
         open_.append(np.array(asked, np.int64))
@@ -429,11 +471,10 @@ def _tree_of(n: int, pairs: np.ndarray) -> np.ndarray:
 
 def unsure_links(x: np.ndarray, roots: np.ndarray, mask: int, plan: Plan) -> np.ndarray:
     """All pairs of rows within the radii that have equal bands and different roots."""
-    values = x[:, 0] & np.uint64(mask)
-    order, large = _equal_groups(values)
-    pairs = _small_pairs(x, values, order, plan)[:, :2]
+    found, dense = _met(x, mask, plan)
+    pairs = np.unique(found[:, :2], axis=0)
     out = [pairs[roots[pairs[:, 0]] != roots[pairs[:, 1]]]]
-    for group in large:
+    for group in dense:
         for i, u in enumerate(group[:-1].tolist()):
             left = group[i + 1 :]
             left = left[roots[left] != roots[u]]
@@ -509,12 +550,12 @@ def similar_links(docs: DataFrame, classes: DataFrame, plan: Plan, n: int, leaf:
         return pa.table({"a": nodes[at[:, 0]], "b": nodes[at[:, 1]]})
 
     alone = classes.select("node", "print", F.col("node").alias("root"))
-    found = C.spool(deal(alone, plan, trees, 0).groupBy("shard").applyInArrow(first, "a long, b long"), "links")
+    found = C.spool(deal(alone, plan, trees).groupBy("shard").applyInArrow(first, "a long, b long"), "links")
     sure = C.spool(found.where("a <> b").union(short), "sure")
     asked = found.where("a = b").select(F.col("a").alias("node")).distinct()
     roots = C.spool(components(sure), "roots")
     open_ = C.spool(classes.select("node", "print").join(asked, "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "open")
-    pairs = deal(open_, plan, trees, 0).groupBy("shard").applyInArrow(second, "a long, b long")
+    pairs = deal(open_, plan, trees).groupBy("shard").applyInArrow(second, "a long, b long")
     unsure = C.spool(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "unsure")
     return C.spool(sure.union(similar(docs, classes.select("node", "doc_id", "key"), unsure, plan)), "links")
 

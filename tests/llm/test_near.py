@@ -179,8 +179,8 @@ def test_template_family(spark, monkeypatch, small):
         x = np.roll(prints, -w, axis=1)
         sure, asked = S.sure_links(x, mask, plan)
         open_ = np.array(sorted(asked.tolist()), np.int64)
-        unsure = open_[S.unsure_links(x[open_], open_, mask, plan)] if len(open_) else []
-        met |= {tuple(sorted((rows[a][0], rows[b][0]))) for a, b in [*np.array(sure).tolist(), *np.array(unsure).tolist()]}
+        unsure = [(open_[u], open_[v]) for u, partners in S.unsure_links(x[open_], open_, mask, plan) for v in partners.tolist()]
+        met |= {tuple(sorted((rows[a][0], rows[b][0]))) for a, b in [*np.array(sure).tolist(), *unsure]}
     true = [p for p in near if links[p[0]] == links[p[1]]]
     assert len(true) == len(near) and all(tuple(p) in met for p in near)
     group = {r.doc_id: r.component_id for r in S.near_groups(frame(spark, rows), plan, leaf=50).collect()}

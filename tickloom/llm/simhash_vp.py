@@ -21,8 +21,10 @@ need leaves a tree nothing to prune; that of these bands is 0, so their trees on
 texts is cut again and again by further bits drawn from all the others, as often as makes all but MISS of the similar pairs meet, so
 the comparisons of a text don't grow with the texts as such. A pair that meets is compared on 128 bits, then on all. Pairs whose bits are three deviations on the near side of 0.8 are linked, those as far on the other
 side aren't, and for what is left between, unless sure links connect it, the shingle sets themselves are compared. Shards hold all
-bits, so they report trees of sure links alone, and which fingerprints have a link that is left between to another tree. A
-second search, among these only, reports every such link between two groups of sure links.
+bits, so they report trees of sure links alone, and which fingerprints have a link that is left between to another tree, in the
+first band only that such a pair has in common. These go back to those shards with their shingle sets and the numbers of their
+groups of sure links, and every pair of two groups is settled by its sets there, unless links found before connect it. Reported
+are, again, trees: no step writes the pairs of a group.
 
 The formula is one for large sets. Pairs of which a text has at most FEW shingles are settled by the sets alone: of two sets of
 n and more shingles and similarity s, the first n - ceil(s n) + 1 by the order of hashes have one in common (likewise the
@@ -374,7 +376,20 @@ def _small_pairs(x: np.ndarray, values: np.ndarray, order: np.ndarray, plan: Pla
     return np.concatenate(out)
 
 
-def _sure_forest(x: np.ndarray, group: np.ndarray, plan: Plan) -> tuple[list[tuple[int, int]], list[int]]:
+def _first(x: np.ndarray, left: np.ndarray, right: np.ndarray | int, mask: int, word: int | None, plan: Plan) -> np.ndarray:
+    """Of pairs with this band equal, those without an equal band before it; x begins with the band's word. No word: all."""
+    ok = np.ones(len(left), bool)
+    if word is None or not len(left):
+        return ok
+    apart = x[left] ^ (x[right] if isinstance(right, np.ndarray) else x[right])
+    for w, m in masks(plan):
+        if (w, m) == (word, mask):
+            break
+        ok &= (apart[:, (w - word) % plan.words] & np.uint64(m)) != 0
+    return ok
+
+
+def _sure_forest(x: np.ndarray, group: np.ndarray, mask: int, word: int | None, plan: Plan) -> tuple[list[tuple[int, int]], list[int]]:
     """Trees that connect what sure links connect in a group, and the rows with an unsure link to another tree. A tree's rows are
     compared with all that is left when they are reached, so every pair of rows in two trees is compared."""
     left, out, open_ = group, [], []
@@ -392,6 +407,7 @@ def _sure_forest(x: np.ndarray, group: np.ndarray, plan: Plan) -> tuple[list[tup
             todo += found
         for u, near in zip(tree, loose):
             near = near[np.isin(near, left)]
+            near = near[_first(x, near, u, mask, word, plan)]
             if len(near):
                 open_ += [u, *near.tolist()]
     return out, open_
@@ -439,8 +455,9 @@ def _met(x: np.ndarray, mask: int, plan: Plan) -> tuple[np.ndarray, list[np.ndar
     return np.concatenate(found), dense
 
 
-def sure_links(x: np.ndarray, mask: int, plan: Plan) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of rows that connect what sure links connect among rows of equal bands; the rows with an unsure link to another tree."""
+def sure_links(x: np.ndarray, mask: int, plan: Plan, word: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows that connect what sure links connect among rows of equal bands; the rows with an unsure link to another tree
+    (with the band's word: only if no band before is equal too)."""
     found, dense = _met(x, mask, plan)
     pairs = np.unique(found, axis=0)
     pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0], pairs[:, 2]))]
@@ -448,9 +465,10 @@ def sure_links(x: np.ndarray, mask: int, plan: Plan) -> tuple[np.ndarray, np.nda
     tree = _spanning(pairs[sure, :2])
     root = _tree_of(len(x), tree)
     unsure = pairs[~sure, :2]
-    out, open_ = [tree], [unsure[root[unsure[:, 0]] != root[unsure[:, 1]]].reshape(-1)]
+    unsure = unsure[root[unsure[:, 0]] != root[unsure[:, 1]]]
+    out, open_ = [tree], [unsure[_first(x, unsure[:, 0], unsure[:, 1], mask, word, plan)].reshape(-1)]
     for group in dense:
-        own, asked = _sure_forest(x, group, plan)
+        own, asked = _sure_forest(x, group, mask, word, plan)
         out.append(np.array(own, np.int64).reshape(-1, 2))
         open_.append(np.array(asked, np.int64))
     return np.concatenate(out), np.unique(np.concatenate(open_))
@@ -469,18 +487,53 @@ def _tree_of(n: int, pairs: np.ndarray) -> np.ndarray:
     return root
 
 
-def unsure_links(x: np.ndarray, roots: np.ndarray, mask: int, plan: Plan) -> np.ndarray:
-    """All pairs of rows within the radii that have equal bands and different roots."""
+def unsure_links(x: np.ndarray, roots: np.ndarray, mask: int, plan: Plan, word: int | None = None) -> Iterator[tuple[int, np.ndarray]]:
+    """All pairs of rows within the radii that have equal bands (with the band's word: and no equal band before) and different
+    roots: a row and its partners."""
     found, dense = _met(x, mask, plan)
     pairs = np.unique(found[:, :2], axis=0)
-    out = [pairs[roots[pairs[:, 0]] != roots[pairs[:, 1]]]]
+    pairs = pairs[roots[pairs[:, 0]] != roots[pairs[:, 1]]]
+    pairs = pairs[_first(x, pairs[:, 0], pairs[:, 1], mask, word, plan)]
+    if len(pairs):
+        for own in np.split(pairs, np.flatnonzero(np.diff(pairs[:, 0])) + 1):
+            yield int(own[0, 0]), own[:, 1]
     for group in dense:
         for i, u in enumerate(group[:-1].tolist()):
             left = group[i + 1 :]
             left = left[roots[left] != roots[u]]
-            at, _ = _bits(x, left, u, plan)
-            out.append(np.column_stack([np.full(len(at), u), left[at]]))
-    return np.concatenate(out)
+            left = left[_bits(x, left, u, plan)[0]]
+            left = left[_first(x, left, u, mask, word, plan)]
+            if len(left):
+                yield u, left
+
+
+def settled(pairs: Iterator[tuple[int, np.ndarray]], roots: np.ndarray, sets: list[np.ndarray], least: float) -> list[tuple[int, int]]:
+    """Links (pairs of rows) that connect, beyond equal roots, what pairs whose sets have at least the similarity connect."""
+    ids = np.unique(np.concatenate([np.zeros(0, np.uint64), *sets]), return_inverse=True)[1]
+    ends = np.cumsum([len(v) for v in sets])
+    own = [ids[e - len(v) : e] for v, e in zip(sets, ends)]
+    marked = np.zeros(len(ids) + 1, bool)
+    up: dict[int, int] = {}
+
+    def find(n: int) -> int:
+        while (to := up.get(n, n)) != n:
+            up[n] = n = up.get(to, to)
+        return n
+
+    out = []
+    for u, partners in pairs:
+        marked[own[u]] = True
+        at = find(int(roots[u]))
+        for v in partners.tolist():
+            to = find(int(roots[v]))
+            if at == to:
+                continue
+            common = int(np.count_nonzero(marked[own[v]]))
+            if common >= least * (len(own[u]) + len(own[v]) - common):
+                out.append((u, v))
+                at, up[max(at, to)] = min(at, to), min(at, to)
+        marked[own[u]] = False
+    return out
 
 
 def few_forest(sets: list[np.ndarray], least: float) -> list[tuple[int, int]]:
@@ -541,50 +594,45 @@ def similar_links(docs: DataFrame, classes: DataFrame, plan: Plan, n: int, leaf:
 
     def first(key, shard):
         nodes, x, _ = _members(shard)
-        at, asked = sure_links(x, bands[key[0].as_py() % len(bands)][1], plan)
-        return pa.table({"a": np.concatenate([nodes[at[:, 0]], nodes[asked]]), "b": np.concatenate([nodes[at[:, 1]], nodes[asked]])})
+        number = key[0].as_py()
+        word, mask = bands[number % len(bands)]
+        at, asked = sure_links(x, mask, plan, word)
+        none = np.full(len(at), -1, np.int64)
+        return pa.table({"a": np.concatenate([nodes[at[:, 0]], nodes[asked]]), "b": np.concatenate([nodes[at[:, 1]], nodes[asked]]), "shard": np.concatenate([none, np.full(len(asked), number, np.int64)])})
 
     def second(key, shard):
-        nodes, x, roots = _members(shard)
-        at = unsure_links(x, roots, bands[key[0].as_py() % len(bands)][1], plan)
+        shard = shard.sort_by("node")
+        word, mask = bands[key[0].as_py() % len(bands)]
+        nodes, roots = shard.column("node").to_numpy(), shard.column("root").to_numpy()
+        x = np.frombuffer(b"".join(v.as_py() for v in shard.column("print")), ">u8").astype(np.uint64).reshape(len(nodes), -1)
+        x = np.roll(x, -word, axis=1)
+        sets = [np.frombuffer(v.as_py(), np.uint64) for v in shard.column("own")]
+        at = np.array(settled(unsure_links(x, roots, mask, plan, word), roots, sets, plan.similarity), np.int64).reshape(-1, 2)
         return pa.table({"a": nodes[at[:, 0]], "b": nodes[at[:, 1]]})
 
     alone = classes.select("node", "print", F.col("node").alias("root"))
-    found = C.spool(deal(alone, plan, trees).groupBy("shard").applyInArrow(first, "a long, b long"), "links")
-    sure = C.spool(found.where("a <> b").union(short), "sure")
-    asked = found.where("a = b").select(F.col("a").alias("node")).distinct()
-    roots = C.spool(components(sure), "roots")
-    open_ = C.spool(classes.select("node", "print").join(asked, "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "open")
-    pairs = deal(open_, plan, trees).groupBy("shard").applyInArrow(second, "a long, b long")
-    unsure = C.spool(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "unsure")
-    return C.spool(sure.union(similar(docs, classes.select("node", "doc_id", "key"), unsure, plan)), "links")
-
-
-def similar(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, plan: Plan) -> DataFrame:
-    """The pairs (a, b) of nodes (node, doc_id, key) whose texts' shingle sets have at least the plan's similarity."""
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = C.spool(nodes.join(asked, "node").select("doc_id", "key", "node"), "asked")
+    found = C.spool(deal(alone, plan, trees).groupBy("shard").applyInArrow(first, "a long, b long, shard long"), "links")
+    sure = C.spool(found.where("shard < 0").select("a", "b").union(short), "sure")
+    asked = found.where("shard >= 0").select(F.col("a").alias("node"), "shard")
+    sets = shingle_sets(docs, classes.join(asked.select("node").distinct(), "node"), plan)
+    open_ = asked.join(classes.select("node", "print"), "node").join(components(sure), "node", "left").join(sets, "node")
+    open_ = open_.select("shard", "node", F.coalesce("root", "node").alias("root"), "print", "own")
+    settled_ = open_.groupBy("shard").applyInArrow(second, "a long, b long")
+    return C.spool(sure.union(settled_), "links")
+
+
+def shingle_sets(docs: DataFrame, nodes: DataFrame, plan: Plan) -> DataFrame:
+    """node, own (sorted hashes of the shingles, 8 bytes each): the sets of the texts of nodes (node, doc_id, key)."""
+    wanted = C.spool(nodes.select("doc_id", "key", "node"), "asked")
     texts = C.matching(docs.select("doc_id", "text"), wanted, "inner").select("node", C.text_of().alias("text"))
-    shingle, least = plan.shingle, plan.similarity
+    shingle = plan.shingle
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in C.slices(batches):
             own = [np.unique(hashes(t.as_py(), shingle)).tobytes() for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.binary())], ["node", "own"])
 
-    own = C.spool(texts.mapInArrow(sets, "node long, own binary").dropDuplicates(["node"]), "shingles")
-    both = pairs.select("a", "b").join(own.select(F.col("node").alias("a"), F.col("own").alias("left")), "a").join(own.select(F.col("node").alias("b"), F.col("own").alias("right")), "b")
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in C.slices(batches):
-            keep = []
-            for left, right in zip(batch.column("left"), batch.column("right")):
-                x, y = (np.frombuffer(v.as_py(), np.uint64) for v in (left, right))
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(common >= least * (len(x) + len(y) - common))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    return both.select("a", "b", "left", "right").mapInArrow(compare, "a long, b long")
+    return C.spool(texts.mapInArrow(sets, "node long, own binary").dropDuplicates(["node"]), "shingles")
 
 
 def near_groups(docs: DataFrame, plan: Plan = EXACT, leaf: int = LEAF) -> DataFrame:

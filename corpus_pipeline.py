@@ -18,7 +18,7 @@ from tickloom.llm import exact_dedup as dedup
 #: The file of the tokenizer's ranks, and the pattern that splits texts before.
 RANKS, PATTERN = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
 #: Workers of the last stage stand beside executors that the stages before have filled.
-LEAN = bpe.Bounds(states=60_000, pairs=150_000, chunks=100_000, matches=30_000)
+LEAN = bpe.Bounds(states=40_000, pairs=100_000, chunks=16_000_000, matches=5_000_000)
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

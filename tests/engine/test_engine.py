@@ -439,3 +439,85 @@ def test_entry(spark):
     assert entry.entry(spark).count() == 50
     assert set(entry.oracle_sql()) <= set(entry.queries())
     assert set(E.queries()) <= set(entry.queries())
+
+
+def test_cp1252_rows(spark, tmp_path):
+    """Bytes that other encodings take for line ends stay in their field; quoted line ends need to be announced."""
+    data = 'time;bid;ask;note\n1;2;3;a\x85b \x0b\x1c "c"\n2;3;4;5 € – “x”\n3;4;5;"q;\x1e"\n'.replace("\x85", "…").encode("cp1252")
+    (tmp_path / "q.csv").write_bytes(data)
+    got = [tuple(r) for r in D.read_quotes_text(spark, f"file://{tmp_path}/q.csv").orderBy("time").collect()]
+    assert got == [("1", "2", "3", 'a…b \x0b\x1c "c"'), ("2", "3", "4", "5 € – “x”"), ("3", "4", "5", "q;\x1e")]
+    (tmp_path / "m.csv").write_bytes('time;bid;ask;note\n1;2;3;"a\nb ä"\n2;3;4;c\n'.encode("cp1252"))
+    assert [r.note for r in D.read_quotes_text(spark, f"file://{tmp_path}/m.csv", quoted=True).orderBy("time").collect()] == ["a\nb ä", "c"]
+
+
+def test_separator_candidates():
+    assert D.detect_separator("value one\nb two\n") == "," and D.detect_separator("\n\na|b;c|d\n1;2;3;4;5\n") == "|" and D.detect_separator("") == ","
+
+
+def test_utf16_tie():
+    assert D.detect_encoding(b"\x00\x00a\x00\x00a" * 4) == "utf-16-be" and D.detect_encoding("ab".encode("utf-16-le")) == "utf-16-le"
+
+
+def test_brackets(spark, monkeypatch):
+    """Quantiles by brackets are those of all values, ties and infinities included."""
+    import random
+
+    from tickloom.operators import layout
+
+    monkeypatch.setattr(layout, "FEW_VALUES", 10)
+    monkeypatch.setattr(layout, "SPARE", 0.01)
+    rng = random.Random(4)
+    values = {"a": [rng.gauss(0, 1) for _ in range(3000)], "b": [float(rng.randrange(4)) for _ in range(3000)], "c": [rng.choice([math.inf, -math.inf, None, math.nan, rng.random()]) for _ in range(3000)]}
+    df = spark.createDataFrame(list(zip(*values.values())), "a double, b double, c double").repartition(4)
+    shares = [0.0, 0.001, 0.3, 0.5, 0.95, 1.0]
+    got = {(r.column, r.share): r.value for r in nearest_quantiles(df, list(values), shares).collect()}
+    for name, x in values.items():
+        x = sorted(v for v in x if v is not None and not math.isnan(v))
+        assert all(got[name, s] == x[math.floor(s * (len(x) - 1) + 0.5)] for s in shares)
+
+
+def test_gaps_in_row_numbers(spark, monkeypatch):
+    """Splits, boundaries and the order's check over cells of few rows, with gaps between row numbers."""
+    import random
+
+    monkeypatch.setattr(S, "CELL_ROWS", 7)
+    rng = random.Random(6)
+    rows = [(s, i, 1000 * i + rng.choice([0, 0, 0, 2500])) for s in "ab" for i in sorted(rng.sample(range(400), 120))]
+    df = spark.createDataFrame(rows, "series_id string, row_id long, t long").select("series_id", "row_id", F.timestamp_millis("t").alias("end_time")).repartition(3)
+    bad = {s: 0 for s in "ab"}
+    for s in "ab":
+        own = [t for x, _, t in rows if x == s]
+        bad[s] = sum(b < a for a, b in zip(own, own[1:]))
+    assert {r.series_id: r.violations for r in S.monotonic_violations(df).collect()} == bad and sum(bad.values())
+    c = G.SplitConfig(start=None, end=None, mode="row")
+    got = {(r.series_id, r.row_id): r.split for r in S.row_split(df, c).collect()}
+    names = ["train"] * 84 + ["val"] * 18 + ["test"] * 18
+    want = {(s, i): names[k] for s in "ab" for k, i in enumerate(i for x, i, _ in rows if x == s)}
+    assert got == want
+    left = {(r.series_id, r.row_id) for r in S.boundary_drop(S.row_split(df, c), 9).collect()}
+    assert left == {(s, i) for s in "ab" for k, i in enumerate(i for x, i, _ in rows if x == s) if not (75 <= k < 84 or 93 <= k < 102)}
+
+
+def test_blocks_of_every_series(spark):
+    """A short series is fitted on its own first part, whatever the longest one's length, and rows behind don't count."""
+    rows = [("a", i + 20, float(i)) for i in range(1000)] + [("b", i + 7, float(i)) for i in range(40)]
+    df = spark.createDataFrame(rows, "series_id string, row_id long, x double")
+    sizes = df.groupBy("series_id").agg((F.max("row_id") - F.min("row_id") + 1).alias("n"), F.min("row_id").alias("first"))
+    got = T.series_blocks(df, sizes, 0.7, 5, 50_000, 2, distinct=True).groupBy("series_id").agg(F.max("x").alias("top"), F.count("*").alias("n"))
+    assert {r.series_id: (r.top, r.n) for r in got.collect()} == {"a": (699.0, 700), "b": (27.0, 28)}
+    one = T.series_blocks(df.where("series_id = 'a'"), sizes.where("series_id = 'a'"), 0.7, 5, 300, 1)
+    plain = T.fit_blocks(df.where("series_id = 'a'").withColumn("row_id", F.col("row_id") - 20), 700, 5, 10_000)
+    assert sorted((r.block, r.x) for r in one.collect()) == sorted((r.block, r.x) for r in plain.collect())
+    assert T.series_blocks(df, sizes, 0.7, 1, 50_000, 2).where("series_id = 'b'").count() == 28
+
+
+@pytest.mark.parametrize("values,unit", [([1.0e18, 1.0], "ns"), ([3e17, 1.0, 1.0], "s"), ([2e14, 1e9], "us"), ([1.9e14, 1.0], "ms"), ([], "s"), ([None], "s"), ([1e12], "ms"), ([1.5e11, 1e9], "s")])
+def test_epoch_bounds(spark, values, unit):
+    import statistics
+
+    some = [v for v in values if v is not None]
+    if some:
+        middle = statistics.median(some)
+        assert unit == next((u for b, u in Q.UNITS if middle > b), "s")
+    assert Q.epoch_unit(spark.createDataFrame([(v,) for v in values], "time double")) == unit

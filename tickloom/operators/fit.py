@@ -47,9 +47,27 @@ def fit_blocks(df: DataFrame, fit_rows: int, n_blocks: int, rows: int, distinct:
     return df.join(F.broadcast(some), (F.col("row_id") >= F.col("_from")) & (F.col("row_id") < F.col("_to"))).drop("_from", "_to")
 
 
+def series_blocks(df: DataFrame, sizes: DataFrame, fraction: float, n_blocks: int, sample: int, series: int, distinct: bool = False) -> DataFrame:
+    """The blocks of fit_blocks for every series by its own first row and number of rows (sizes: series_id, first, n), so that no row
+    behind a series' first part is fitted. The rows of all blocks are about `sample`, however many series there are."""
+    rows = -(-max(10_000, -(-sample // n_blocks)) // max(series, 1))
+    fitted = F.floor(F.col("n") * F.lit(fraction))
+    share = lambda i: F.lit(0) if n_blocks <= 1 else F.floor((F.col("_fit") - 1) * F.lit(i) / F.lit(n_blocks - 1))
+    starts = [share(i).cast("long") for i in range(max(1, n_blocks))]
+    ends = [F.least(s + rows, F.col("_fit")) for s in starts]
+    if distinct:
+        ends = [F.least(e, s) for e, s in zip(ends, starts[1:])] + ends[-1:]
+    spans = F.array(*[F.struct(F.lit(i).alias("no"), s.alias("from"), e.alias("to")) for i, (s, e) in enumerate(zip(starts, ends))])
+    own = sizes.withColumn("_fit", fitted).where("_fit > 0").select("series_id", F.col("first").alias("_first"), spans.alias("_spans"))
+    joined = df.join(F.broadcast(own) if series <= 10_000 else own, "series_id")
+    place = F.col("row_id") - F.col("_first")
+    hit = F.filter("_spans", lambda s: (place >= s["from"]) & (place < s["to"]))
+    return joined.withColumn("block", F.explode(F.transform(hit, lambda s: s["no"]))).drop("_first", "_spans")
+
+
 def clip_bounds(df: DataFrame, columns: list[str], low: float, high: float) -> DataFrame:
-    """column, low, high by nearest quantiles, in order; columns without values have no row."""
-    q = nearest_quantiles(df, columns, [low, high]).groupBy("column")
+    """column, low, high by nearest quantiles of a bounded sample, in order; columns without values have no row."""
+    q = nearest_quantiles(df, columns, [low, high], bounded=True).groupBy("column")
     ends = q.agg(F.max(F.when(F.col("share") == low, F.col("value"))).alias("a"), F.max(F.when(F.col("share") == high, F.col("value"))).alias("b"))
     return ends.where("a is not null and b is not null").select("column", F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high"))
 
@@ -185,18 +203,17 @@ def corr_prune(df: DataFrame, threshold: float, protect: list[str]) -> list[str]
 
 def fit(features: DataFrame, config: FeatureConfig) -> dict:
     """The transform's parameters: bounds, selected columns, and what they come from. Fitted on the first part of each series."""
-    total = features.groupBy("series_id").agg((F.max("row_id") - F.min("row_id") + 1).alias("n"), F.min("row_id").alias("first"))
-    rows = total.agg(F.coalesce(F.max("n"), F.lit(0)), F.coalesce(F.min("first"), F.lit(0))).first()
-    fit_rows = int(rows[0] * config.fraction)
-    shifted = features.withColumn("row_id", F.col("row_id") - F.lit(rows[1]))
-    per = lambda sample: max(10_000, -(-sample // config.fit_blocks))
+    sizes = features.groupBy("series_id").agg((F.max("row_id") - F.min("row_id") + 1).alias("n"), F.min("row_id").alias("first"))
+    whole = sizes.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum(F.floor(F.col("n") * F.lit(config.fraction))), F.lit(0))).first()
+    series, total_rows, fit_rows = (int(v) for v in whole)
+    blocks = lambda sample: series_blocks(features, sizes, config.fraction, config.fit_blocks, sample, series, config.distinct_blocks)
     columns = numeric_columns(features, BASE)
-    for_bounds = fit_blocks(shifted, fit_rows, config.fit_blocks, per(config.fit_sample_rows), config.distinct_blocks)
+    for_bounds = blocks(config.fit_sample_rows)
     bounds = {r.column: (r.low, r.high) for r in clip_bounds(for_bounds, columns, config.clip_low, config.clip_high).collect()}
-    for_corr = fit_blocks(shifted, fit_rows, config.fit_blocks, per(config.corr_sample_rows), config.distinct_blocks).drop("block")
+    for_corr = blocks(config.corr_sample_rows).drop("block")
     selected = corr_prune(clip_select(for_corr, for_corr.columns, bounds).drop("series_id", "row_id"), config.corr_threshold, list(BASE))
     return {
-        "version": "1.2", "windows": config.windows, "fit_rows": fit_rows, "total_rows": rows[0], "corr_threshold": config.corr_threshold, "clip": [config.clip_low, config.clip_high],
+        "version": "1.2", "windows": config.windows, "fit_rows": fit_rows, "total_rows": total_rows, "series": series, "corr_threshold": config.corr_threshold, "clip": [config.clip_low, config.clip_high],
         "bounds": {c: list(b) for c, b in bounds.items()}, "selected": selected, "qa": {"null_rate": moments(for_corr, columns).null_rate},
     }
 

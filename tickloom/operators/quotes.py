@@ -59,9 +59,15 @@ def parse_price(text: Column) -> Column:
 
 
 def epoch_unit(df: DataFrame, column: str = "time") -> str:
-    """The unit of epoch numbers, by the median of all of them."""
-    middle = df.agg(F.median(F.col(column).cast("double"))).first()[0]
-    return next((unit for bound, unit in UNITS if middle is not None and middle > bound), "s")
+    """The unit of epoch numbers, by the median of all of them: one aggregation counts how many are above each bound, and where that
+    is just half of them, the two values beside the bound are the middle ones."""
+    x = F.col(column).cast("double")
+    parts = [F.struct(F.count_if(x > bound), F.max(F.when(x <= bound, x)), F.min(F.when(x > bound, x))) for bound, _ in UNITS]
+    n, *found = df.agg(F.count(x), *parts).first()
+    for (bound, unit), (above, below, least) in zip(UNITS, found):
+        if 2 * above > n or (above and 2 * above == n and (below + least) / 2 > bound):
+            return unit
+    return "s"
 
 
 def epoch_to_time(x: Column, unit: str) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import SplitConfig
+from .layout import CELL_ROWS, numbered
 
 ORDER = ("train", "val", "test")
 
@@ -35,8 +36,14 @@ def monotonic_violations(df: DataFrame, rows: int | None = None, column: str | N
     """series_id, violations: rows, in the order of row_id, whose time is before their predecessor's."""
     column = column or time_column(df)
     head = df if rows is None else df.where(F.col("row_id") < F.lit(rows))
-    before = F.lag(column).over(Window.partitionBy("series_id").orderBy("row_id"))
-    return head.select("series_id", (F.col(column) < before).alias("bad")).groupBy("series_id").agg(F.sum(F.coalesce(F.col("bad").cast("long"), F.lit(0))).alias("violations"))
+    head = head.select("series_id", "row_id", F.col(column).alias("_t"), F.floor(F.col("row_id") / CELL_ROWS).alias("_cell"))
+    # within cells by a window each, between them by their first and last rows
+    before = F.lag("_t").over(Window.partitionBy("series_id", "_cell").orderBy("row_id"))
+    cells = head.withColumn("_bad", F.coalesce((F.col("_t") < before).cast("long"), F.lit(0))).groupBy("series_id", "_cell")
+    cells = cells.agg(F.sum("_bad").alias("_bad"), F.min_by("_t", "row_id").alias("_first"), F.max_by("_t", "row_id").alias("_last"))
+    back = F.col("_first") < F.lag("_last").over(Window.partitionBy("series_id").orderBy("_cell"))
+    cells = cells.withColumn("_bad", F.col("_bad") + F.coalesce(back.cast("long"), F.lit(0)))
+    return cells.groupBy("series_id").agg(F.sum("_bad").alias("violations"))
 
 
 def check_monotonic(df: DataFrame, rows: int | None = None) -> None:
@@ -70,18 +77,20 @@ def row_split(df: DataFrame, config: SplitConfig) -> DataFrame:
     sizes = df.groupBy("series_id").agg(F.count(F.lit(1)).alias("_n"), F.min("row_id").alias("_first"), F.max("row_id").alias("_last"))
     joined = df.join(F.broadcast(sizes) if sizes.limit(10_001).count() <= 10_000 else sizes, "series_id")
     dense = sizes.where(F.col("_last") - F.col("_first") + 1 != F.col("_n")).limit(1).count() == 0
-    place = F.col("row_id") - F.col("_first") if dense else F.row_number().over(Window.partitionBy("series_id").orderBy("row_id")) - 1
+    if not dense:
+        joined = numbered(joined, ["series_id"], F.floor(F.col("row_id") / CELL_ROWS), ["row_id"], "_place")
+    place = F.col("row_id") - F.col("_first") if dense else F.col("_place")
     train, val = F.floor(F.col("_n") * F.lit(config.train)), F.floor(F.col("_n") * F.lit(config.val))
     split = F.when(place < train, "train").when(place < train + val, "val").otherwise("test")
-    return joined.withColumn("split", split).drop("_n", "_first", "_last")
+    return joined.withColumn("split", split).drop("_n", "_first", "_last", "_place")
 
 
 def boundary_drop(df: DataFrame, k: int) -> DataFrame:
     """Without the last k rows of train and of val of each series."""
     if k == 0:
         return df
-    back = F.row_number().over(Window.partitionBy("series_id", "split").orderBy(F.col("row_id").desc()))
-    return df.withColumn("_back", back).where((F.col("split") == "test") | (F.col("_back") > k)).drop("_back")
+    back = numbered(df, ["series_id", "split"], -F.floor(F.col("row_id") / CELL_ROWS), [F.col("row_id").desc()], "_back")
+    return back.where((F.col("split") == "test") | (F.col("_back") >= k)).drop("_back")
 
 
 def split(df: DataFrame, config: SplitConfig) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import codecs
 import csv
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 HEAD = 64 * 1024
@@ -23,7 +23,8 @@ def detect_encoding(head: bytes) -> str:
         if head.startswith(mark):
             return name
     if head and head.count(0) / len(head) > ZERO_SHARE:
-        return "utf-16-le" if head[1::2].count(0) >= head[0::2].count(0) else "utf-16-be"
+        odd, even = (head[i::2].count(0) / max(1, len(head[i::2])) for i in (1, 0))
+        return "utf-16-le" if odd > even else "utf-16-be"
     try:
         codecs.getincrementaldecoder("utf-8")("strict").decode(head, final=len(head) < HEAD)
         return "utf-8"
@@ -37,7 +38,7 @@ def detect_separator(text: str) -> str:
     if max(counts, default=0):
         return SEPARATORS[counts.index(max(counts))]
     try:
-        return csv.Sniffer().sniff(text[:4096]).delimiter
+        return csv.Sniffer().sniff(line, delimiters="".join(SEPARATORS)).delimiter
     except csv.Error:
         return ","
 
@@ -61,15 +62,23 @@ def head_of(spark: SparkSession, path: str, size: int = HEAD) -> bytes:
         stream.close()
 
 
-#: What Spark's reader decodes itself; UTF-16 needs whole files, since line ends are two bytes there.
-NATIVE = {"utf-8": "UTF-8", "utf-8-sig": "UTF-8", "utf-16": "UTF-16", "utf-16-le": "UTF-16LE", "utf-16-be": "UTF-16BE", "utf-32": "UTF-32"}
+#: What Spark's reader decodes itself; UTF-16 needs whole files, since line ends are two bytes there. A byte of cp1252 is read as the
+#: Latin-1 character of its number, and what cp1252 has in the place of these controls is put there in the rows.
+NATIVE = {"utf-8": "UTF-8", "utf-8-sig": "UTF-8", "cp1252": "ISO-8859-1", "utf-16": "UTF-16", "utf-16-le": "UTF-16LE", "utf-16-be": "UTF-16BE", "utf-32": "UTF-32"}
+#: Read by parts of a file.
+SPLIT = ("utf-8", "utf-8-sig", "cp1252")
 
 
-def read_quotes_text(spark: SparkSession, path: str, encoding: str | None = None, separator: str | None = None) -> DataFrame:
+def _from_latin(text: Column) -> Column:
+    controls = range(0x80, 0xA0)
+    return F.translate(text, "".join(map(chr, controls)), "".join(bytes([b]).decode("cp1252", "replace") for b in controls))
+
+
+def read_quotes_text(spark: SparkSession, path: str, encoding: str | None = None, separator: str | None = None, quoted: bool = False) -> DataFrame:
     """All columns of a delimited file with a header, as text. Rows with too few fields get nulls.
 
-    UTF-8 files are split between tasks. UTF-16, UTF-32 and cp1252 files are read whole, a file to a task: split such data
-    into many files.
+    UTF-8 and cp1252 files are split between tasks, at line ends. UTF-16 and UTF-32 files are read whole, a file to a task; so are
+    all files with `quoted`, which says that quoted fields may hold line ends. Split such data into many files.
     """
     head = head_of(spark, path)
     if not head.strip(b"\0\r\n \xef\xbb\xbf"):
@@ -80,18 +89,9 @@ def read_quotes_text(spark: SparkSession, path: str, encoding: str | None = None
     header = next(csv.reader([next(x for x in text.splitlines() if x.strip())], delimiter=separator))
     header = [h.strip().lstrip("﻿") for h in header]
     schema = ", ".join(f"`{h or f'_c{i}'}` string" for i, h in enumerate(header))
-    if encoding in NATIVE:
-        options = {"header": True, "sep": separator, "mode": "PERMISSIVE", "enforceSchema": True, "encoding": NATIVE[encoding], "multiLine": not encoding.startswith("utf-8")}
-        return spark.read.options(**options).schema(schema).csv(path)
-    files = spark.read.format("binaryFile").load(path).select("content")
-
-    def decoded(batches):
-        import pyarrow as pa
-
-        for batch in batches:
-            for content in batch.column(0):
-                lines = content.as_py().decode(encoding, "replace").splitlines()
-                yield pa.RecordBatch.from_arrays([pa.array([x for x in lines[1:] if x.strip()], pa.string())], ["line"])
-
-    lines = files.mapInArrow(decoded, "line string")
-    return lines.select(F.from_csv("line", schema, {"sep": separator, "mode": "PERMISSIVE"}).alias("r")).select("r.*")
+    if encoding not in NATIVE:
+        raise ValueError(f"no reader for {encoding}")
+    whole = encoding not in SPLIT or quoted
+    options = {"header": True, "sep": separator, "mode": "PERMISSIVE", "enforceSchema": True, "encoding": NATIVE[encoding], "multiLine": whole}
+    rows = spark.read.options(**options).schema(schema).csv(path)
+    return rows.select(*[_from_latin(F.col(f"`{c}`")).alias(c) for c in rows.columns]) if encoding == "cp1252" else rows

@@ -130,3 +130,21 @@ def test_added_tokens(spark, tmp_path):
     for i, x in rows:
         ids = [*t.encode(x, add_special_tokens=False).ids, 0]
         assert got[i] == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+
+
+def test_memory_is_bounded():
+    """One unspaced text and one of very many words, in a single call each: bytes stay within the two generations."""
+    from sys import getsizeof
+
+    from tickloom.llm.pretokens import Chunks
+
+    size = 200_000
+    chunks = Chunks(P.PATTERN, str.encode, size, size)
+    rng = random.Random(1)
+    unspaced = "".join(rng.choice("漢字假名αβγ") for _ in range(300_000))
+    words = " ".join(f"w{i}x" for i in range(100_000))
+    for text in (unspaced, words, unspaced + " " + words):
+        assert chunks.ids(text) == text.encode()
+        for memory in (chunks.chunks, chunks.pieces):
+            held = sum(getsizeof(k) + getsizeof(v) for d in (memory.young, memory.old) for k, v in d.items())
+            assert held <= 2 * size + 10_000 and max(map(len, [*memory.young, *memory.old, ""])) <= 256

@@ -26,11 +26,11 @@ from . import common as C
 from .pretokens import Chunks
 
 #: States held at most, those met first, so all frequent ones; beyond them a state is made again when it is needed.
-STATES = 80_000
+STATES = 100_000
 #: Pairs of tokens held at most of which it is known whether they can be neighbours.
 PAIRS = 200_000
 #: Bytes of chunks and of matches remembered, by a generation.
-CHUNKS, MATCHES = 40_000_000, 8_000_000
+CHUNKS, MATCHES = 60_000_000, 16_000_000
 #: Ids decoded at a time.
 DECODE_BLOCK = 4096
 

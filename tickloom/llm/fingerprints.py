@@ -98,10 +98,21 @@ def with_next(docs: DataFrame) -> DataFrame:
     return seen.where("guest = 0").drop("guest")
 
 
-def fingerprint_edits(docs: DataFrame) -> DataFrame:
-    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
+def count_within(rows: DataFrame, radius: int, every: int) -> DataFrame:
+    """row_no, n_within: for rows whose id is divisible by `every`, how many different fingerprints of all rows (row_no, doc_id,
+    fingerprint) are within the radius of theirs, which is one of them."""
+    asked = rows.where(F.col("doc_id") % every == 0).select("row_no", "fingerprint")
+    counts = within(asked, rows, radius).groupBy("query").agg(F.count(F.lit(1)).alias("n_within"))
+    sizes = asked.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("size"))
+    entries = C.spool(sizes.join(counts, sizes["fingerprint"] == counts["query"]).drop("query"), "within")
+    return C.attach(asked, entries, "fingerprint", "size", asked.count()).select("row_no", "n_within")
+
+
+def fingerprint_edits(docs: DataFrame, radius: int = 3, every: int = 100) -> DataFrame:
+    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, n_within.
 
     The edited text has the last third of the code points (rounded down) replaced by as many from the next document's start.
+    n_within: by the block tables, see count_within; null for rows that aren't asked for, those without an id among them.
     """
     rows = with_next(docs)
     n = F.length("text")
@@ -116,8 +127,9 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
     plain = own.where("kind = 0").drop("kind")
     changed = own.where("kind = 1").select("row_no", F.col("fingerprint").alias("edited_print"))
     following = plain.select(F.col("row_no").alias("next_no"), F.col("fingerprint").alias("next_print"))
-    out = plain.join(changed, "row_no").join(following, "next_no")
+    out = plain.join(changed, "row_no").join(following, "next_no").join(count_within(plain, radius, every), "row_no", "left")
     return out.select(
         "doc_id", "n_chars", "edited_sha256", C.hex64(F.col("fingerprint")).alias("fingerprint"), C.hex64(F.col("edited_print")).alias("edited_fingerprint"),
         likeness(F.col("fingerprint"), F.col("edited_print")).alias("near_edited"), likeness(F.col("fingerprint"), F.col("next_print")).alias("near_next"),
+        "n_within",
     )

@@ -32,7 +32,7 @@ END = 0
 #: Documents to a file.
 FILE_DOCS = 4096
 #: Bytes of chunks and of matches remembered, by a generation: the library is asked for what isn't.
-REMEMBERED = (100_000_000, 50_000_000)
+REMEMBERED = (160_000_000, 80_000_000)
 #: Texts that are Python objects at a time.
 TOGETHER = 512
 

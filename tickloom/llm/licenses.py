@@ -3,9 +3,8 @@
 A text is compared line by line and, if it has several lines, as a whole. Normalised: lower case, runs of anything but
 a-z and 0-9 are one blank. Dice is 2 * common / (own + template's), over distinct bigrams. A template is a candidate only
 if its number of bigrams allows the threshold: min / max >= t / (2 - t). Null, empty and one-word texts match nothing;
-rows with the same id,
-or with none, share what is found in any of them; other columns aren't read; an empty table gives no rows. Ties
-between templates go to the one listed first.
+rows are found again by their id and a hash of their text, so rows that share an id, or have none, get what is in their own
+text; other columns aren't read; an empty table gives no rows. Ties between templates go to the one listed first.
 """
 
 from __future__ import annotations
@@ -67,7 +66,7 @@ def template_rows(templates=TEMPLATES) -> list[tuple[int, str, int, str]]:
 
 
 def compare(docs: DataFrame, threshold: float = THRESHOLD, templates=TEMPLATES) -> DataFrame:
-    """doc_id, unit (line from 1, 0: whole text), template, license, dice: all comparisons at or above the threshold.
+    """doc_id, key (of the text), unit (line from 1, 0: whole text), template, license, dice: all comparisons at or above the threshold.
 
     Templates are a constant table, so their broadcast has a fixed size. Units outside the sizes of all templates are
     dropped before their bigrams are dealt out; the rest meets only templates whose size bound holds and that share a
@@ -81,25 +80,25 @@ def compare(docs: DataFrame, threshold: float = THRESHOLD, templates=TEMPLATES)
     text = C.text_of()
     lines = F.split(text, "\n")
     units = F.when(F.size(lines) > 1, F.concat(F.array(text), lines)).otherwise(F.concat(F.array(F.lit("")), lines))
-    each = docs.select(F.monotonically_increasing_id().alias("row_no"), F.col("doc_id").cast("long").alias("doc_id"), F.posexplode(units).alias("unit", "body"))
+    each = docs.select(F.monotonically_increasing_id().alias("row_no"), F.col("doc_id").cast("long").alias("doc_id"), C.text_key().alias("key"), F.posexplode(units).alias("unit", "body"))
     # n bigrams take over 2 n characters and n words; n distinct ones can't have over n + 1 distinct words
     each = each.where(F.length("body") > 2 * least).withColumn("words", F.split(normalised(F.col("body")), " "))
     each = each.where((F.size("words") > least) & (F.size(F.array_distinct("words")) <= most + 1))
-    each = each.select("row_no", "doc_id", "unit", bigrams(F.col("words")).alias("own")).withColumn("n_own", F.size("own"))
+    each = each.select("row_no", "doc_id", "key", "unit", bigrams(F.col("words")).alias("own")).withColumn("n_own", F.size("own"))
     each = each.where((F.col("n_own") >= least) & (F.col("n_own") <= most))
-    dealt = each.select("row_no", "doc_id", "unit", "n_own", F.explode("own").alias("bigram"))
+    dealt = each.select("row_no", "doc_id", "key", "unit", "n_own", F.explode("own").alias("bigram"))
     met = dealt.join(wanted, "bigram").where(F.least("n_own", "n_template") >= ratio * F.greatest("n_own", "n_template"))
-    scored = met.groupBy("row_no", "doc_id", "unit", "n_own", "template", "license", "n_template").agg(F.count(F.lit(1)).alias("common"))
+    scored = met.groupBy("row_no", "doc_id", "key", "unit", "n_own", "template", "license", "n_template").agg(F.count(F.lit(1)).alias("common"))
     scored = scored.withColumn("dice", F.lit(2.0) * F.col("common") / (F.col("n_own") + F.col("n_template")))
-    return scored.where(F.col("dice") >= threshold).select("doc_id", "unit", "template", "license", "dice")
+    return scored.where(F.col("dice") >= threshold).select("doc_id", "key", "unit", "template", "license", "dice")
 
 
 def license_scan(docs: DataFrame, threshold: float = THRESHOLD, templates=TEMPLATES) -> DataFrame:
     """doc_id, n_units (lines, or the whole text, that match), license, dice (of the best match, null if none), licenses (all, comma-joined): a row per document."""
     hits = C.spool(compare(docs, threshold, templates), "licenses")
     best = F.max(F.struct("dice", (-F.col("template")).alias("neg"), "license")).alias("b")
-    per = hits.groupBy("doc_id").agg(F.count_distinct("unit").alias("n_units"), best, F.array_join(F.array_sort(F.collect_set("license")), ",").alias("licenses"))
-    per = per.select(F.col("doc_id").alias("_id"), "n_units", F.col("b.license").alias("license"), F.col("b.dice").alias("dice"), "licenses")
-    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
-    out = ids.join(per, F.col("doc_id").eqNullSafe(F.col("_id")), "left")
+    per = hits.groupBy("doc_id", "key").agg(F.count_distinct("unit").alias("n_units"), best, F.array_join(F.array_sort(F.collect_set("license")), ",").alias("licenses"))
+    per = per.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), "n_units", F.col("b.license").alias("license"), F.col("b.dice").alias("dice"), "licenses")
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), C.text_key().alias("key"))
+    out = ids.join(per, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key")), "left")
     return out.select("doc_id", F.coalesce("n_units", F.lit(0)).cast("long").alias("n_units"), "license", "dice", "licenses")

@@ -1,8 +1,9 @@
 """Secret scans by a trigram inverted index.
 
-Each rule's regular expression is turned into a Boolean trigram query (an OR of ANDs). The index has postings (trigram,
-doc_id) of lower-cased texts; a rule's candidates are the documents in the intersection of an alternative's postings, and
-its expression runs on those alone. A rule without a mandatory trigram scans all texts. Matches are leftmost and don't
+Each rule's regular expression is turned into a Boolean trigram query (an OR of ANDs). The index has a posting (trigram,
+doc_id) for every trigram of every lower-cased text, sorted by trigram in each file, so that a rule, an older or a new one,
+reads the postings that it asks for alone; a rule's candidates are the documents in the intersection of an alternative's
+postings, and its expression runs on those alone. A rule without a mandatory trigram scans all texts. Matches are leftmost and don't
 overlap within a kind; start and end count code points, the end exclusive. Null and empty texts have no spans; rows with
 null or repeated ids are scanned as rows of their own; other columns aren't read; an empty table gives no rows.
 """
@@ -21,6 +22,8 @@ from . import common as C
 #: Strings of a run, alternatives of a query, characters of a class that are followed one by one. Beyond them a part of
 #: the query is left out: it then lets more documents through, never fewer.
 RUN, ALTERNATIVES, CLASS = 48, 64, 4
+#: Matches of a text whose places are listed at a time.
+TOGETHER = 256
 
 
 @dataclass(frozen=True)
@@ -113,17 +116,20 @@ def trigram_query(pattern: str) -> list[list[str]] | None:
     return None if frozenset() in query else sorted(sorted(a) for a in query)
 
 
-def postings(docs: DataFrame, trigrams: list[str] | None = None) -> DataFrame:
-    """trigram, doc_id, each once per row: of all trigrams, or of those that some rule asks for."""
-    low = F.lower(C.text_of())
-    if trigrams is None:
-        n = F.length(low)
-        found = F.when(n >= 3, F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(n - 2, F.lit(1))), lambda i: F.substr(low, i, F.lit(3)))))
-    elif trigrams:
-        found = F.filter(F.array(*[F.when(F.contains(low, F.lit(t)), F.lit(t)) for t in sorted(trigrams)]), lambda t: t.isNotNull())
-    else:
-        found = F.array().cast("array<string>")
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.explode(found).alias("trigram")).select("trigram", "doc_id")
+def postings(docs: DataFrame) -> DataFrame:
+    """trigram, doc_id, each once per row, of all trigrams: one pass over the characters of a text."""
+    joined = lambda a, b: F.concat(a, b)
+    behind = lambda c, n: F.slice(c, n + 1, F.size(c))
+    threes = lambda c: F.array_distinct(F.filter(F.zip_with(F.zip_with(c, behind(c, 1), joined), behind(c, 2), joined), lambda t: t.isNotNull()))
+    # as the variable of a function, so that a text is split into its characters once
+    found = F.get(F.transform(F.array(F.split(F.lower(C.text_of()), "")), threes), 0)
+    return docs.select(F.explode(found).alias("trigram"), F.col("doc_id").cast("long").alias("doc_id"))
+
+
+def write_index(docs: DataFrame, path: str) -> DataFrame:
+    """The postings of docs at a path in shared storage, sorted within files; texts stay where they are read."""
+    postings(docs).sortWithinPartitions("trigram", "doc_id").write.parquet(path)
+    return docs.sparkSession.read.schema("trigram string, doc_id long").parquet(path)
 
 
 def candidates(index: DataFrame, rules=RULES) -> DataFrame:
@@ -131,7 +137,7 @@ def candidates(index: DataFrame, rules=RULES) -> DataFrame:
     spark = index.sparkSession
     asked = [(r.kind, i, t, len(a)) for r in rules for i, a in enumerate(trigram_query(r.pattern) or []) for t in a]
     wanted = F.broadcast(spark.createDataFrame(asked, "kind string, alternative int, trigram string, n int"))
-    met = index.join(wanted, "trigram").groupBy("doc_id", "kind", "alternative", "n").agg(F.count_distinct("trigram").alias("has"))
+    met = index.where(F.col("trigram").isin(sorted({t for _, _, t, _ in asked}))).join(wanted, "trigram").groupBy("doc_id", "kind", "alternative", "n").agg(F.count_distinct("trigram").alias("has"))
     return met.where("has = n").groupBy("doc_id").agg(F.collect_set("kind").alias("kinds"))
 
 
@@ -143,7 +149,6 @@ def spans(text: Column, rule: Rule, at: int) -> Column:
     counted = found if rule.group == 0 else F.regexp_extract_all(text, pattern, F.lit(rule.group))
     rows = F.arrays_zip(between.alias("gap"), F.transform(found, lambda m: F.length(m)).alias("size"), F.transform(counted, lambda m: F.length(m)).alias("counts"))
     none = F.array().cast("array<struct<start:int,kind:int,stop:int>>")
-    zero = F.struct(F.lit(0).alias("at"), none.alias("out"))
 
     def step(acc: Column, r: Column) -> Column:
         start = acc["at"] + r["gap"]
@@ -151,14 +156,22 @@ def spans(text: Column, rule: Rule, at: int) -> Column:
         own = F.array(F.struct(start.alias("start"), F.lit(at).alias("kind"), stop.alias("stop")))
         return F.struct(stop.alias("at"), F.when(r["counts"] >= rule.least, F.concat(acc["out"], own)).otherwise(acc["out"]).alias("out"))
 
-    return F.aggregate(rows, zero, step, lambda acc: acc["out"])
+    def part(done: Column, k: Column) -> Column:
+        """The next TOGETHER matches, from where the last ones ended: only their own list is copied as it grows."""
+        begun = F.coalesce(F.get(done, F.size(done) - 1)["at"], F.lit(0))
+        own = F.aggregate(F.slice(rows, k * TOGETHER + 1, F.lit(TOGETHER)), F.struct(begun.alias("at"), none.alias("out")), step)
+        return F.concat(done, F.array(own))
+
+    empty = F.array().cast("array<struct<at:int,out:array<struct<start:int,kind:int,stop:int>>>>")
+    parts = F.aggregate(F.sequence(F.lit(0), F.floor((F.size(found)) / TOGETHER).cast("int")), empty, part)
+    return F.flatten(F.transform(parts, lambda p: p["out"]))
 
 
-def scan(docs: DataFrame, rules=RULES) -> DataFrame:
-    """doc_id, text, spans: array<struct<start, kind, stop>> by start, then by the rules' order; kind is the rule's place."""
+def scan(docs: DataFrame, rules=RULES, index: DataFrame | None = None) -> DataFrame:
+    """doc_id, text, spans: array<struct<start, kind, stop>> by start, then by the rules' order; kind is the rule's place.
+    index: from write_index() of the same documents (or more of them); else one is made."""
     asked = {r.kind: trigram_query(r.pattern) for r in rules}
-    needed = sorted({t for q in asked.values() if q for a in q for t in a})
-    index = C.spool(postings(docs, needed).sortWithinPartitions("trigram", "doc_id"), "postings")
+    index = index or write_index(docs, C.fresh_path(docs.sparkSession, "postings"))
     few = C.spool(candidates(index, rules), "candidates")
     small = few.select(F.col("doc_id").alias("_id"), "kinds")
     if few.count() <= C.FEW:

@@ -88,6 +88,39 @@ def test_config(tmp_path):
     assert [G.duration_us(x) for x in ("30m", "6 h", "1d", "0s", None, "", 0)] == [1_800_000_000, 21_600_000_000, 86_400_000_000, 0, 0, 0, 0]
 
 
+FLAT = """name: x
+reports_name: Dev
+data_path: {at}
+tick_bar_size: 5
+starting_date: 2023-01-01
+end_date: "2025-12-01"
+train_portion: 0.7
+validation_portion: 0.2
+horizon_bars: 10
+vol_window: 20
+pt_mult: 1.0
+min_vol: 1e-6
+purge_mode: 'nonoverlap'
+"""
+
+
+def test_flat_config(tmp_path):
+    at = tmp_path / "flat.yaml"
+    at.write_text(FLAT.format(at="q.csv"))
+    c = G.load_flat(str(at))
+    assert (c.source, c.report, c.stages.wrangle.tick_size, c.stages.split.start, c.stages.split.val) == ("q.csv", "Dev", 5, "2023-01-01", 0.15)
+    assert c.stages.labels == G.LabelConfig() and set(c.idle) == {"validation_portion", "horizon_bars", "vol_window", "pt_mult", "min_vol", "purge_mode"}
+    c = G.load_flat(str(at), all_keys=True)
+    assert c.idle == () and c.stages.split.val == 0.2 and c.stages.labels == G.LabelConfig(horizon=10, vol_window=20, pt_mult=1.0, purge=True)
+    assert G.from_flat({}).stages.split.start == "2025-01-01"
+    for bad in ({"tick_size": 3}, {"tick_bar_size": "many"}, {"tick_bar_size": 0}, []):
+        with pytest.raises(G.ConfigError):
+            G.from_flat(bad)
+    for bad in ({"purge_mode": "some"}, {"min_vol": "x"}):
+        with pytest.raises(G.ConfigError):
+            G.from_flat(bad, all_keys=True)
+
+
 # quotes
 
 
@@ -416,6 +449,22 @@ def test_pipeline(spark, tmp_path):
     assert set(L.LABELS) <= set(spark.read.parquet(paths["test"]).columns)
 
 
+def test_command(spark, tmp_path):
+    """From delimited quotes to labelled splits by a flat file, at the default windows."""
+    from tickloom.__main__ import main
+
+    text = quotes(spark, 7000).select(F.date_format("time", "yyyy-MM-dd HH:mm:ss.SSS").alias("Timestamp"), F.col("bid").alias("Bid"), F.col("ask").alias("Ask"))
+    text.coalesce(1).write.option("header", True).csv(f"{tmp_path}/in")
+    (tmp_path / "c.yaml").write_text(FLAT.format(at=f"{tmp_path}/in"))
+    paths = main([str(tmp_path / "c.yaml"), "--out", f"{tmp_path}/out"])
+    selected = spark.read.parquet(paths["selected"])
+    sizes = [spark.read.parquet(paths[n]).count() for n in S.ORDER]
+    assert sum(sizes) == selected.count() > 1000 and sizes[0] > sizes[1] > 100
+    params = json.loads((tmp_path / "out/features_params.json").read_text())
+    assert params["windows"] == G.DEFAULT_WINDOWS
+    assert json.loads((tmp_path / "out/labels.json").read_text())["params"]["horizon"] == 50
+
+
 def test_streamed_bars(spark, tmp_path):
     from tickloom.streaming.bars import stream_tick_bars
 

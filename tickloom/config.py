@@ -166,13 +166,73 @@ def from_dict(given: dict) -> PipelineConfig:
     return PipelineConfig(**made)
 
 
-def load(path: str) -> PipelineConfig:
+def _read(path: str) -> dict:
     import yaml
 
     if not Path(path).is_file():
         raise ConfigError(f"no such configuration: {path}")
     try:
-        given = yaml.safe_load(Path(path).read_text())
+        return yaml.safe_load(Path(path).read_text()) or {}
     except yaml.YAMLError as e:
         raise ConfigError(f"not YAML: {path}: {e}") from e
-    return from_dict(given or {})
+
+
+def load(path: str) -> PipelineConfig:
+    return from_dict(_read(path))
+
+
+#: The keys of a flat file, and the stage and key that each one means here.
+FLAT = {
+    "tick_bar_size": ("wrangle", "tick_size"), "starting_date": ("split", "start"), "end_date": ("split", "end"),
+    "train_portion": ("split", "train"), "val_portion": ("split", "val"),
+}
+#: Keys that a flat file may hold without effect, unless all keys are asked for.
+FLAT_IDLE = {
+    "validation_portion": ("split", "val"), "horizon_bars": ("labels", "horizon"), "vol_window": ("labels", "vol_window"), "vol_windows": ("labels", "vol_window"),
+    "vol_mode": ("labels", "vol_mode"), "vol_ret_clip": ("labels", "vol_ret_clip"), "pt_mult": ("labels", "pt_mult"), "sl_mult": ("labels", "sl_mult"),
+    "cost_k_spread": ("labels", "cost_k"), "slippage_k": ("labels", "slippage_k"), "slippage_pow_speed": ("labels", "slippage_pow"), "min_cost_bps": ("labels", "min_cost_bps"),
+    "max_cost_bps": ("labels", "max_cost_bps"), "cost_roundtrip": ("labels", "roundtrip"), "min_vol": ("labels", "min_vol"), "ret_clip": ("labels", "ret_clip"),
+    "tie_break": ("labels", "tie_break"), "purge_mode": ("labels", "purge"), "purge_embargo_bars": ("labels", "purge_embargo"), "weight_cap": ("labels", "weight_cap"),
+}
+FLAT_NAMES = ("name", "version", "reports_name", "data_path")
+#: What a flat file leaves open.
+FLAT_DEFAULTS = {"starting_date": "2025-01-01", "end_date": "2025-12-01"}
+PURGE_MODES = {"none": False, "nonoverlap": True}
+
+
+@dataclass(frozen=True)
+class FlatConfig:
+    """source and report as named in the file; idle: its keys without effect."""
+
+    source: str
+    report: str
+    stages: PipelineConfig
+    idle: tuple[str, ...]
+
+
+def from_flat(given: dict, all_keys: bool = False) -> FlatConfig:
+    """A flat mapping of keys. Splits and labels take their defaults where a key of FLAT_IDLE stands, unless all_keys; unknown keys
+    are errors. Of two keys with one meaning the one in FLAT counts. Numbers may be written as text (YAML reads 1e-6 as such)."""
+    _check(isinstance(given, dict), "a mapping of keys is needed")
+    known = {*FLAT, *FLAT_IDLE, *FLAT_NAMES}
+    _check(set(given) <= known, f"unknown keys: {sorted(map(str, set(given) - known))}")
+    meant = (FLAT_IDLE if all_keys else {}) | FLAT
+    made: dict[str, dict] = {}
+    for key, (stage, name) in meant.items():
+        value = given.get(key, FLAT_DEFAULTS.get(key))
+        if value is None:
+            continue
+        kind = type(getattr(STAGES[stage](), name))
+        try:
+            if key == "purge_mode":
+                _check(str(value) in PURGE_MODES, f"unknown purge_mode: {value}")
+                value = PURGE_MODES[str(value)]
+            made.setdefault(stage, {})[name] = kind(value)
+        except (TypeError, ValueError) as e:
+            raise ConfigError(f"not a value of {key}: {value!r}") from e
+    idle = () if all_keys else tuple(k for k in given if k in FLAT_IDLE)
+    return FlatConfig(str(given.get("data_path") or "sample_data/raw_data/XAUUSD.csv"), str(given.get("reports_name") or "Default Report"), from_dict(made), idle)
+
+
+def load_flat(path: str, all_keys: bool = False) -> FlatConfig:
+    return from_flat(_read(path), all_keys)

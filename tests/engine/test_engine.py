@@ -6,6 +6,7 @@ import math
 import random
 from dataclasses import replace
 from datetime import datetime, timedelta
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
@@ -255,6 +256,22 @@ def test_varying_ticks(spark):
 # fitting
 
 
+def test_zscores_far_from_the_block(spark):
+    """Frames whose level is far from their block's, nulls and constants, against exact arithmetic."""
+    rng = random.Random(5)
+    xs = [None if i < 7 or i % 41 == 0 else 300.0 if 300 <= i < 340 else i + rng.gauss(0, 1) for i in range(4000)]
+    df = spark.createDataFrame([("S", i * 3, x) for i, x in enumerate(xs)], "series_id string, row_id long, x double")
+    for n in (5, 20):
+        s = X.Stages(df)
+        X.long_zscores(s, K.Over(), [("x", n)])
+        got = [r[0] for r in s.df.orderBy("row_id").select("_z_x").collect()]
+        for i, z in enumerate(got):
+            f = [Fraction(v) for v in xs[max(0, i - n + 1) : i + 1] if v is not None]
+            spread = sum((v - sum(f) / n) ** 2 for v in f) if len(f) == n else 0
+            want = float(f[-1] - sum(f) / n) / math.sqrt(float(spread) / (n - 1)) if spread else None
+            assert (z is None) == (want is None) and (z is None or math.isclose(z, want, rel_tol=1e-8, abs_tol=1e-8)), (n, i, z, want)
+
+
 def test_fit_blocks(spark):
     df = spark.range(100).select(F.lit("S").alias("series_id"), F.col("id").alias("row_id"))
     want = [r for s in (0, 24, 49, 74, 99) for r in range(s, min(s + 30, 100))]

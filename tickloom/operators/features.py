@@ -81,20 +81,33 @@ def base_features(bars: DataFrame, over: K.Over) -> Stages:
 def long_zscores(s: Stages, over: K.Over, asked: list[tuple[str, int]]) -> None:
     """_z_<name>: the z-score of a column over so many rows, at a cost per row that doesn't grow with them.
 
-    Frames are differences of running sums of the values, taken from their mean over the block so that little cancels. A
-    spread that is no more than rounding leaves of the running sum of squares is zero, and its z-score null.
+    Frames are differences of running sums. The values are taken from a centre that is near them: that of a stretch of as many rows
+    as the frame, the value at its start. So a frame meets two centres at most, and its rows before the last start (_m of them) are
+    moved to the present one; sums lose nothing to a level far from that of the frame. A spread that is no more than rounding
+    leaves of the sums, or of the values, is zero, and its z-score null.
     """
     w = f"(PARTITION BY {', '.join(over.keys)} ORDER BY {over.order}"
     every, running, row = f"{w} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)", f"{w} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)", f"{w})"
     # as text: a call per stage instead of one per operation
     value = "CASE WHEN NOT isnan({0}) AND abs({0}) < double('Infinity') THEN {0} END"
+    start = "_place % {0} = 0"
     steps = [
-        lambda x, n: [f"{value.format(x)} - avg({value.format(x)}) OVER {every} AS _d_{x}"],
-        lambda x, n: [f"count(_d_{x}) OVER {running} AS _n_{x}", f"sum(_d_{x}) OVER {running} AS _s_{x}", f"sum(_d_{x} * _d_{x}) OVER {running} AS _q_{x}"],
-        lambda x, n: [f"nullif(_n_{x} - coalesce(lag(_n_{x}, {n}) OVER {row}, 0), 0) AS _nw_{x}", *[f"_{k}_{x} - coalesce(lag(_{k}_{x}, {n}) OVER {row}, 0D) AS _{k}w_{x}" for k in "sq"]],
-        lambda x, n: [f"_qw_{x} - _sw_{x} * _sw_{x} / _nw_{x} AS _v_{x}"],
-        lambda x, n: [f"CASE WHEN _nw_{x} >= {n} AND _v_{x} > 1e-13D * _q_{x} THEN (_d_{x} - _sw_{x} / _nw_{x}) / sqrt(_v_{x} / (_nw_{x} - 1)) END AS _z_{x}"],
-    ]
+        lambda x, n: [f"coalesce(last(CASE WHEN {start.format(n)} THEN {value.format(x)} END, true) OVER {running}, first({value.format(x)}, true) OVER {every}) AS _c_{x}"],
+        lambda x, n: [f"{value.format(x)} - _c_{x} AS _d_{x}"],
+        lambda x, n: [f"count(_d_{x}) OVER {running} AS _n_{x}", f"coalesce(sum(_d_{x}) OVER {running}, 0D) AS _s_{x}", f"coalesce(sum(_d_{x} * _d_{x}) OVER {running}, 0D) AS _q_{x}"],
+        lambda x, n: [
+            f"lag(struct(_n_{x} AS n, _s_{x} AS s, _q_{x} AS q, _c_{x} AS c), {n}) OVER {row} AS _l_{x}",
+            f"last(CASE WHEN {start.format(n)} THEN struct(_n_{x} - int(_d_{x} IS NOT NULL) AS n, _s_{x} - coalesce(_d_{x}, 0D) AS s) END, true) OVER {running} AS _a_{x}",
+        ],
+        lambda x, n: [
+            f"nullif(_n_{x} - coalesce(_l_{x}.n, 0), 0) AS _nw_{x}", f"_s_{x} - coalesce(_l_{x}.s, 0D) AS _sw_{x}", f"_q_{x} - coalesce(_l_{x}.q, 0D) AS _qw_{x}",
+            f"double(_a_{x}.n - coalesce(_l_{x}.n, 0)) AS _m_{x}", f"_a_{x}.s - coalesce(_l_{x}.s, 0D) AS _sm_{x}", f"coalesce(_l_{x}.c - _c_{x}, 0D) AS _by_{x}",
+        ],
+        lambda x, n: [f"_sw_{x} + _m_{x} * _by_{x} AS _st_{x}", f"_qw_{x} + _by_{x} * (2 * _sm_{x} + _m_{x} * _by_{x}) AS _qt_{x}"],
+        lambda x, n: [f"_qt_{x} - _st_{x} * _st_{x} / _nw_{x} AS _v_{x}"],
+        lambda x, n: [f"CASE WHEN _nw_{x} >= {n} AND _v_{x} > 1e-13D * greatest(_q_{x}, _qt_{x}) AND _v_{x} > 1e-28D * _nw_{x} * _c_{x} * _c_{x} THEN (_d_{x} - _st_{x} / _nw_{x}) / sqrt(_v_{x} / (_nw_{x} - 1)) END AS _z_{x}"],
+    ]
+    s.df = s.df.selectExpr("*", f"row_number() OVER {row} - 1 AS _place")
     for step in steps:
         s.df = s.df.selectExpr("*", *[e for name, rows in asked for e in step(name, rows)])
 

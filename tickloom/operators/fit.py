@@ -47,6 +47,11 @@ def fit_blocks(df: DataFrame, fit_rows: int, n_blocks: int, rows: int, distinct:
     return df.join(F.broadcast(some), (F.col("row_id") >= F.col("_from")) & (F.col("row_id") < F.col("_to"))).drop("_from", "_to")
 
 
+def series_sizes(df: DataFrame) -> DataFrame:
+    """series_id, first (row_id), n: a row per series."""
+    return df.groupBy("series_id").agg((F.max("row_id") - F.min("row_id") + 1).alias("n"), F.min("row_id").alias("first"))
+
+
 def series_blocks(df: DataFrame, sizes: DataFrame, fraction: float, n_blocks: int, sample: int, series: int, distinct: bool = False) -> DataFrame:
     """The blocks of fit_blocks for every series by its own first row and number of rows (sizes: series_id, first, n), so that no row
     behind a series' first part is fitted. The rows of all blocks are about `sample`, however many series there are."""
@@ -203,7 +208,7 @@ def corr_prune(df: DataFrame, threshold: float, protect: list[str]) -> list[str]
 
 def fit(features: DataFrame, config: FeatureConfig) -> dict:
     """The transform's parameters: bounds, selected columns, and what they come from. Fitted on the first part of each series."""
-    sizes = features.groupBy("series_id").agg((F.max("row_id") - F.min("row_id") + 1).alias("n"), F.min("row_id").alias("first"))
+    sizes = series_sizes(features)
     whole = sizes.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum(F.floor(F.col("n") * F.lit(config.fraction))), F.lit(0))).first()
     series, total_rows, fit_rows = (int(v) for v in whole)
     blocks = lambda sample: series_blocks(features, sizes, config.fraction, config.fit_blocks, sample, series, config.distinct_blocks)

@@ -27,8 +27,7 @@ from . import oracle as O
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTERED: dict[str, tuple[Query, str | None]] = {}
 
-WINDOWS = {"S": 3, "M": 5, "L": 10, "XL": 20}
-FEATURES = FeatureConfig(windows=WINDOWS, block_rows=200)
+FEATURES = FeatureConfig(block_rows=500)
 LABELS = LabelConfig(horizon=O.H, vol_window=O.WIN, atr_window=O.WIN, block_rows=100)
 SPLIT = SplitConfig(start=None, end=None)
 W = 20
@@ -312,7 +311,7 @@ def sign_entropy(spark, at):
     return kernel(spark, at, lambda o: {"v": o.sign_entropy(F.col("r"), W)})
 
 
-@query(O.features(WINDOWS))
+@query(O.features(FEATURES.windows))
 def features_full(spark, at):
     """Means of the spreads are often halves of the last digit, so all doubles are moved off them before they are rounded."""
     df = X.compute(bars(spark, at), FEATURES).drop("series_id", "start_time", "end_time")
@@ -329,12 +328,16 @@ def fit_frame(spark, at) -> DataFrame:
     return own_rows(b).select("series_id", "row_id", *FIT)
 
 
-_BLOCKS = ", ".join(f"({i}, {s})" for i, s in enumerate(T.block_starts(350, 5)))
+_FIT_ROWS = f"k AS (SELECT CAST(floor(count(*) * {FEATURES.fit_fraction}e0) AS BIGINT) AS n FROM c)"
+_FIT_SPANS = f"v AS (SELECT i AS block, (n - 1) * i // {FEATURES.fit_blocks - 1} AS s, n FROM k, range({FEATURES.fit_blocks}) x(i))"
 
 
-@query(f"WITH {O.RETURNS} SELECT block, row_id, round(close, 6) AS close FROM c JOIN (VALUES {_BLOCKS}) v(block, s) ON row_id >= s AND row_id < least(s + 90, 350)")
+@query(f"WITH {O.RETURNS}, {_FIT_ROWS}, {_FIT_SPANS} SELECT block::INT AS block, row_id, round(close, 6) AS close FROM c JOIN v ON row_id >= s AND row_id < least(s + {FEATURES.fit_sample_rows // FEATURES.fit_blocks}, n)")
 def fit_blocks(spark, at):
-    return T.fit_blocks(fit_frame(spark, at), 350, 5, 90).select("block", "row_id", r6("close").alias("close"))
+    """The blocks that fit() samples for the bounds."""
+    rows = fit_frame(spark, at)
+    blocks = T.series_blocks(rows, T.series_sizes(rows), FEATURES.fit_fraction, FEATURES.fit_blocks, FEATURES.fit_sample_rows, 1)
+    return blocks.select("block", "row_id", r6("close").alias("close"))
 
 
 @query("SELECT 'value' AS column, share, value FROM (" + " UNION ALL ".join(f"SELECT {s}e0 AS share, {O.nearest('events', 'value', s)} AS value" for s in (0.01, 0.5, 0.95, 0.99)) + ")")

@@ -80,11 +80,12 @@ def compare(docs: DataFrame, threshold: float = THRESHOLD, templates=TEMPLATES)
     text = C.text_of()
     lines = F.split(text, "\n")
     units = F.when(F.size(lines) > 1, F.concat(F.array(text), lines)).otherwise(F.concat(F.array(F.lit("")), lines))
-    each = docs.select(F.monotonically_increasing_id().alias("row_no"), F.col("doc_id").cast("long").alias("doc_id"), C.text_key().alias("key"), F.posexplode(units).alias("unit", "body"))
     # n bigrams take over 2 n characters and n words; n distinct ones can't have over n + 1 distinct words
-    each = each.where(F.length("body") > 2 * least).withColumn("words", F.split(normalised(F.col("body")), " "))
-    each = each.where((F.size("words") > least) & (F.size(F.array_distinct("words")) <= most + 1))
-    each = each.select("row_no", "doc_id", "key", "unit", bigrams(F.col("words")).alias("own")).withColumn("n_own", F.size("own"))
+    words = F.transform(units, lambda u: F.when(F.length(u) > 2 * least, F.split(normalised(u), " ")))
+    own = F.transform(words, lambda w: F.when((F.size(w) > least) & (F.size(F.array_distinct(w)) <= most + 1), bigrams(w)))
+    # all that is made of a text is made once, before its units are rows; a filter above would make it again
+    per_text = docs.select(F.monotonically_increasing_id().alias("row_no"), F.col("doc_id").cast("long").alias("doc_id"), C.text_key().alias("key"), own.alias("units"))
+    each = per_text.select("row_no", "doc_id", "key", F.posexplode("units").alias("unit", "own")).withColumn("n_own", F.size("own"))
     each = each.where((F.col("n_own") >= least) & (F.col("n_own") <= most))
     dealt = each.select("row_no", "doc_id", "key", "unit", "n_own", F.explode("own").alias("bigram"))
     met = dealt.join(wanted, "bigram").where(F.least("n_own", "n_template") >= ratio * F.greatest("n_own", "n_template"))

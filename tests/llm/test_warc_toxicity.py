@@ -2,6 +2,7 @@
 
 import gzip
 import hashlib
+import math
 import random
 import zlib
 
@@ -84,6 +85,51 @@ def test_grammar():
     assert clause("") == 0
 
 
+def by_hand(words):
+    """A clause's score without machines: each insult and threat word looks for what aims, negates or intends it."""
+    kinds, n = [X.FIXED.get(w, X.O) for w in words], len(words)
+    insult = [k == X.I1 and X.N not in kinds[max(0, i - X.REACH) : i] for i, k in enumerate(kinds)]
+    aimed, reach = [False] * n, -1
+    for i in range(n):
+        if kinds[i] == X.T:
+            reach = i + X.AIM
+        elif insult[i] and i <= reach:
+            aimed[i], reach = True, max(reach, i + X.BACK)
+    for i in range(n):
+        if insult[i] and not aimed[i]:
+            after = [j for j in range(i + 1, min(n, i + 1 + X.BACK)) if kinds[j] == X.T or insult[j]]
+            aimed[i] = bool(after) and kinds[after[0]] == X.T
+    base = 0.0
+    for i in range(n):
+        if insult[i]:
+            base += 0.5 if aimed[i] else 0.25
+        elif kinds[i] == X.I1:
+            base += 0.1
+        elif kinds[i] == X.K and X.W in kinds[:i]:
+            base += 2
+    return base * (1.5 if X.T in kinds else 1) * (0.4 if X.R in kinds else 1)
+
+
+def test_clauses_by_hand():
+    rng = random.Random(5)
+    some = ["you", "not", "said", "will", "kill", "idiot", "scum", "word", "other", "are"]
+    scorer = X.Scorer(X.Model())
+    for _ in range(4000):
+        clauses = [rng.choices(some, k=rng.randrange(1, 12)) for _ in range(rng.randrange(1, 4))]
+        scores = [by_hand(c) for c in clauses]
+        got = scorer.features(". ".join(" ".join(c) for c in clauses))
+        assert got[1] == pytest.approx(max(scores), abs=1e-12), clauses
+        assert math.exp(got[0]) + math.exp(got[4]) - 2 == pytest.approx(sum(scores), abs=1e-9), clauses
+
+
+def test_lone_words_are_no_match():
+    scorer = X.Scorer(X.Model())
+    alone, aimed = scorer.features("idiot idiot idiot"), scorer.features("you idiot, you scum like them")
+    assert alone[0] == alone[2] == alone[3] == 0 < alone[4] and aimed[4] == aimed[5] == 0 < aimed[0]
+    assert scorer.score("idiot idiot idiot") < 0.2 < 0.5 < scorer.score("you idiot. you worthless scum. i will kill you")
+    assert scorer.features("kill time") == (0,) * 6
+
+
 def test_composition():
     flip = X.Machine(0, lambda s, a: (s, 1 - a, 0.5))
     count = X.Machine(0, lambda s, a: (min(2, s + a), a, float(a)))

@@ -1,10 +1,12 @@
 """Toxicity by a weighted finite-state pattern grammar, with words and weights learned from labels.
 
-A word becomes a symbol: target, negation, reported speech, intent, threat, or insult of one of three strengths. Four
+A word becomes a symbol: target, negation, reported speech, intent, threat, or insult of one of three strengths. Five
 small transducers are composed into one machine that runs over a clause's symbols: negation rewrites insults that follow
 within three words, threat turns a threat word after an intent into a threat, target and reported speech weigh
-the clause up and down. A clause scores its insults and threats times its weight; a document's score is a logistic
-function of its clauses' scores. Words of no clause that matches count for nothing.
+the clause up and down, and insult aims insults: those after a target (AIM words), after an aimed one, or with a target soon
+behind them (BACK words). A clause matches if it has a threat or an aimed insult, and scores these times its weight. Insults that
+nothing aims are a class of their own, with features and learned weights of their own; threat words without intent count
+for nothing. A document's score is a logistic function of its clauses' scores.
 
 Insults are a fixed list and, beyond it, words and word beginnings that training texts labelled toxic have far more often
 than the others; those and the logistic weights are learned from at most FIT_ROWS labelled rows. Only texts are inputs of
@@ -16,6 +18,7 @@ repeated ids are rows of their own; an empty table gives no rows; labels' other
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -46,11 +49,16 @@ INSULTS = (
     "dumm dummkopf abschaum widerlich erbärmlich wertlos versager trottel imbécile crétin minable ordure dégoûtant débile estúpido imbécil basura asqueroso patético inútil payaso"
 ).split()
 
-O, T, N, R, W, K, I1, I2, I3, I0, THREAT = range(11)  # noqa: E741
-STRENGTH = {I0: 0.3, I1: 0.5, I2: 1.0, I3: 1.5, THREAT: 2.0}
+#: What is read (O to I3) and put out besides: negated insults, threats, aimed insults, targets that aim an insult before them.
+O, T, N, R, W, K, I1, I2, I3, I0, THREAT, J1, J2, J3, A1, A2, A3 = range(17)  # noqa: E741
+#: Part of an insult's strength that counts if nothing aims it.
+LONE = 0.5
+AIMED = (0.5, 1.0, 1.5)
+STRENGTH = {I0: 0.1, THREAT: 2.0} | {I1 + i: LONE * x for i, x in enumerate(AIMED)} | {J1 + i: x for i, x in enumerate(AIMED)}
+STRENGTH |= {A1 + i: x - LONE * x for i, x in enumerate(AIMED)}
 END = 16
-#: A negation reaches so many words.
-REACH = 3
+#: A negation reaches so many words; a target aims insults so many words on, an aimed insult and a target behind so many.
+REACH, AIM, BACK = 3, 4, 2
 #: Logarithms of a clause's weight.
 TARGETED, REPORTED = math.log(1.5), math.log(0.4)
 MARKS = ".,;:!?\"'()[]{}*#$%&|-_/\\<>«»“”„¡¿…"
@@ -106,7 +114,24 @@ def _once(symbol: int, weight: float):
     return step
 
 
-GRAMMAR = Machine(0, _negation).then(Machine(False, _threat)).then(Machine(False, _once(T, TARGETED))).then(Machine(False, _once(R, REPORTED))).table(range(K + 4))
+def _insult(state, s):
+    """state: words that a target or an aimed insult still reaches; the last insult that isn't aimed, and words until it is forgotten."""
+    aim, last, left = state
+    if s == T:
+        return (AIM, 0, 0), A1 + last - I1 if left else s, 0.0
+    if s in (I1, I2, I3):
+        return ((max(aim - 1, BACK), 0, 0), J1 + s - I1, 0.0) if aim else ((0, s, BACK), s, 0.0)
+    return (max(0, aim - 1), last if left > 1 else 0, max(0, left - 1)), s, 0.0
+
+
+GRAMMAR = (
+    Machine(0, _negation)
+    .then(Machine(False, _threat))
+    .then(Machine(False, _once(T, TARGETED)))
+    .then(Machine(False, _once(R, REPORTED)))
+    .then(Machine((0, 0, 0), _insult))
+    .table(range(K + 4))
+)
 
 
 @dataclass
@@ -115,7 +140,7 @@ class Model:
 
     words: dict[str, int] = field(default_factory=dict)
     stems: dict[str, int] = field(default_factory=dict)
-    weights: tuple[float, ...] = (-4.0, 2.0, 0.5, 1.0, 0.5)
+    weights: tuple[float, ...] = (-4.0, 2.0, 0.5, 1.0, 0.5, 0.5, 0.2)
 
     def symbol(self, token: str) -> int:
         word = token.strip(MARKS)
@@ -139,6 +164,12 @@ class Model:
 FIXED = {w: s for s, words in ((T, TARGETS), (N, NEGATIONS), (R, REPORTS), (W, INTENTS), (K, THREATS), (I1, INSULTS)) for w in words}
 TOXIC = [K, I1, I2, I3]
 _TOXIC_BYTES = [bytes([s | e]) for s in TOXIC for e in (0, END)]
+#: A clause: symbols up to one that ends it.
+_clauses = re.compile(rb"[\x00-\x0f]*[\x10-\x1f]|[\x00-\x0f]+").findall
+
+
+#: Features of a text.
+FEATURES = ("matched", "best", "clauses", "matches", "lone", "lone_words")
 
 
 class Scorer:
@@ -147,28 +178,34 @@ class Scorer:
         self.symbols = Memory(model.symbol)
 
     def features(self, text: str) -> tuple[float, ...]:
-        """All clauses' scores in sum (logarithm), the largest, the number of clauses that match, matches per hundred words."""
+        """FEATURES: matching clauses' scores in sum (logarithm), the largest score of any clause, the number of clauses that match,
+        matches per hundred words; the scores of clauses that don't match, and their insults per hundred words."""
         get = self.symbols.young.__getitem__
-        total, best, clauses, matches, n = 0.0, 0.0, 0, 0, 0
+        best, n = 0.0, 0
+        sums, clauses, words = [0.0, 0.0], [0, 0], [0, 0]
         for line in text.lower().split("\n"):
             codes = bytes(map(get, line.split()))
             n += len(codes)
             if not any(b in codes for b in _TOXIC_BYTES):
                 continue
-            state, weight, base = 0, 0.0, 0.0
-            for c in codes:
-                state, out, w = GRAMMAR[state][c & 15]
-                weight += w
-                if out >= I1:
-                    base += STRENGTH[out]
-                    matches += 1
-                if c & END:
-                    if base:
-                        total, best, clauses = total + base * math.exp(weight), max(best, base * math.exp(weight)), clauses + 1
-                    state, weight, base = 0, 0.0, 0.0
-            if base:
-                total, best, clauses = total + base * math.exp(weight), max(best, base * math.exp(weight)), clauses + 1
-        return math.log1p(total), best, math.log1p(clauses), math.log1p(100 * matches / max(n, 20))
+            for clause in _clauses(codes):
+                base, weight, matches, lone = 0.0, 0.0, 0, 0
+                state = 0
+                for c in clause:
+                    state, out, w = GRAMMAR[state][c & 15]
+                    weight += w
+                    if out >= I1:
+                        base += STRENGTH[out]
+                        matches += out >= THREAT
+                        lone += out < THREAT
+                if base:
+                    score, kind = base * math.exp(weight), 0 if matches else 1
+                    best = max(best, score)
+                    sums[kind] += score
+                    clauses[kind] += 1
+                    words[kind] += matches or lone
+        share = 100 / max(n, 20)
+        return math.log1p(sums[0]), best, math.log1p(clauses[0]), math.log1p(share * words[0]), math.log1p(sums[1]), math.log1p(share * words[1])
 
     def score(self, text: str) -> float:
         x = self.features(text)
@@ -251,10 +288,10 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         scorer = Scorer(model)
         for batch in batches:
             got = [(*scorer.features(t.as_py()), float(y.as_py())) for t, y in zip(batch.column(0), batch.column(1))]
-            yield pa.RecordBatch.from_arrays([pa.array([g[i] for g in got], pa.float64()) for i in range(5)], list("abcde"))
+            yield pa.RecordBatch.from_arrays([pa.array([g[i] for g in got], pa.float64()) for i in range(len(FEATURES) + 1)], [*FEATURES, "y"])
 
-    sample = np.array([tuple(r) for r in rows.mapInArrow(measured, "a double, b double, c double, d double, e double").collect()])
-    model.weights = tuple(logistic(sample[:, :4], sample[:, 4]).tolist())
+    sample = np.array([tuple(r) for r in rows.mapInArrow(measured, ", ".join(f"{c} double" for c in [*FEATURES, "y"])).collect()])
+    model.weights = tuple(logistic(sample[:, :-1], sample[:, -1]).tolist())
     return model
 
 

@@ -404,6 +404,38 @@ def model(rows, c):
     return out
 
 
+def greedy(rows, embargo):
+    """(series, row) of the rows kept, one after the other."""
+    kept, last = set(), {}
+    for series, i, t1, ok in sorted(rows, key=lambda r: (str(r[0]), r[1])):
+        if ok and t1 is not None and i > last.get(series, -1) + embargo and t1 > i:
+            kept.add((series, i))
+            last[series] = t1
+    return kept
+
+
+@pytest.mark.parametrize("embargo,span,block", [(0, 3, 5), (2, 9, 16), (1, 40, 7), (3, 1, 1), (0, 5, 100_000)])
+def test_purge_in_blocks(spark, embargo, span, block):
+    rng = random.Random(span)
+    rows = [(s, i, None if rng.random() < 0.05 else i + rng.randrange(-1, span + 1), rng.random() < 0.8) for s, n in (("a", 300), ("b", 1), (None, 60), ("c", 90)) for i in range(n)]
+    rows += [("fixed", i, i + span, True) for i in range(200)]
+    rows += [("gap", i, i + 1, i % 90 < 5) for i in range(200)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "series_id string, row_id long, t1 long, ok boolean")
+    wanted = greedy(rows, embargo)
+    for reach in (None, span):
+        got = L.purge(df, "t1", "ok", embargo, "kept", reach=reach, block_rows=block).collect()
+        assert {(r.series_id, r.row_id) for r in got if r.kept} == wanted
+        assert sorted((str(r.series_id), r.row_id) for r in got) == sorted((str(r[0]), r[1]) for r in rows if r[3])
+
+
+def test_purge_beyond_reach(spark):
+    df = spark.createDataFrame([("a", 0, 9, True)], "series_id string, row_id long, t1 long, ok boolean")
+    with pytest.raises(Exception, match="more than 3 rows on"):
+        L.purge(df, "t1", "ok", 0, "kept", reach=3).collect()
+    assert L.purge(df.limit(0), "t1", "ok", 0, "kept").count() == 0
+
+
 CASES = [
     dict(), dict(tie_break="best_case", sl_mult=1.0, pt_mult=1.5), dict(tie_break="worst_case", pt_mult=0.6, sl_mult=0.5, min_move_cost_mult=0.0, min_move_buffer_bps=0.0),
     dict(vol_mode="rolling_std", atr_mode="sma"), dict(purge=True, purge_embargo=2), dict(purge=True, atr_mode="sma", horizon=3), dict(pt_mult=3.0, sl_mult=0.7),

@@ -9,6 +9,8 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,6 +28,10 @@ LABELS = (
 ).split()
 
 
+#: Row numbers of a block of the purge.
+PURGE_ROWS = 1 << 15
+
+
 def reindex(df: DataFrame) -> DataFrame:
     return row_index(df.withColumnRenamed("row_id", "_old"), ["_old"]).drop("_old")
 
@@ -193,30 +199,72 @@ def barrier(df: DataFrame, config: LabelConfig) -> DataFrame:
     return df.withColumns({"_end_time": F.col("_end.end_time"), "_tb_time": F.col("_at.end_time")}).drop("_hit", "_at", "_ahead", "_end", "_side", "_kind", "_worth", "_pt", "_sl", "_ex")
 
 
-def purge(df: DataFrame, t1: str, valid: str, embargo: int, out: str) -> DataFrame:
+def purge(df: DataFrame, t1: str, valid: str, embargo: int, out: str, reach: int | None = None, block_rows: int = PURGE_ROWS) -> DataFrame:
     """series_id, row_id, out: of the valid rows, those that a greedy pass keeps: each begins after the end of the last one kept
-    plus the embargo, and ends after it begins.
+    plus the embargo, and ends after it begins. Rows without an end aren't kept.
 
-    The pass is sequential by definition, so a series is one task; it streams, with one number of state per series.
+    The pass depends on what is before a row only through the end of the last row kept. So a block of block_rows row numbers
+    first says where a pass ends that enters it at any row, all blocks at once; a series' blocks are then walked by these
+    steps, which tells each block how it is entered; and the blocks mark their rows, all at once again. reach: no row ends more
+    than so many rows on (an error if one does); a block then has about reach + embargo steps, else at most a step a row.
     """
-    slim = df.select("series_id", "row_id", F.col(t1).alias("t1"), F.col(valid).alias("valid")).where("valid")
-    ordered = slim.repartition("series_id").sortWithinPartitions("series_id", "row_id")
-
-    def run(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-
-        now, last = object(), -1
+    ends = F.col(t1).cast("long")
+    slim = df.select("series_id", F.col("row_id").cast("long").alias("row_id"), ends.alias("t1"), F.floor(F.col("row_id") / block_rows).cast("long").alias("_block"), F.col(valid).alias("valid"))
+    dealt = slim.where("valid").drop("valid").repartition("series_id", "_block")  # both readings share this exchange
+
+    def steps(key: tuple, block: pa.Table) -> pa.Table:
+        rows, ends, after = _purge_chain(block, embargo)
+        if reach is not None and (ends - rows > reach).any():
+            raise ValueError(f"a row of series {key[0].as_py()} ends more than {reach} rows on")
+        last = np.where(after < len(rows), after, np.arange(len(rows)))
+        while len(last) and (last[last] != last).any():
+            last = last[last]
+        exits = ends[last]
+        if reach is not None:
+            some = 1 + np.searchsorted(rows, key[1].as_py() * block_rows - 1 + reach + embargo, "right")
+            rows, exits = rows[:some], exits[:some]
+        ends_run = np.append(exits[1:] != exits[:-1], True)[: len(exits)]  # entries in a row with one exit are one step
+        rows, exits = rows[ends_run], exits[ends_run]
+        return pa.table({"series_id": pa.array([key[0].as_py()] * len(rows), pa.string()), "_block": pa.array([key[1].as_py()] * len(rows), pa.int64()), "upto": rows, "exit": exits})
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, last, entered = None, -1, False
         for batch in batches:
-            kept = []
-            for series, row, end in zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True):
-                if series != now:
-                    now, last = series, -1
-                keep = row > last + embargo and end > row
-                last = max(last, end) if keep else last
-                kept.append(keep)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(kept, pa.bool_())], ["series_id", "row_id", out])
-
-    return ordered.mapInArrow(run, f"series_id string, row_id long, {out} boolean")
+            found = []
+            for series, block, upto, exit_ in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if at is None or series != at[0]:
+                    last = -1
+                if (series, block) != at:
+                    at, entered = (series, block), False
+                    found.append((series, block, last))
+                if not entered and upto > last + embargo:
+                    last, entered = exit_, True
+            yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], k) for i, k in enumerate((pa.string(), pa.int64(), pa.int64()))], ["series_id", "_block", "last"])
+
+    def mark(block: pa.Table, entry: pa.Table) -> pa.Table:
+        rows, _, after = _purge_chain(block, embargo)
+        kept = []
+        if len(rows):
+            i = int(np.searchsorted(rows, entry.column("last")[0].as_py() + embargo, "right"))
+            while i < len(rows):
+                kept.append(rows[i])
+                i = int(after[i])
+        marks = np.isin(block.column("row_id").to_numpy(), np.array(kept, np.int64))
+        return pa.table({"series_id": block.column("series_id"), "row_id": block.column("row_id"), out: marks})
+
+    found = dealt.groupBy("series_id", "_block").applyInArrow(steps, "series_id string, _block long, upto long, exit long")
+    entries = found.repartition("series_id").sortWithinPartitions("series_id", "_block", "upto").mapInArrow(walk, "series_id string, _block long, last long")
+    pairs = dealt.groupBy("series_id", "_block").cogroup(entries.groupBy("series_id", "_block"))
+    return pairs.applyInArrow(mark, f"series_id string, row_id long, {out} boolean")
+
+
+def _purge_chain(block: pa.Table, embargo: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row numbers and ends of the rows that a pass may keep, in order, and the place of the row that it would keep next after each."""
+    rows, ends = block.column("row_id").to_numpy(), block.column("t1").fill_null(-1).to_numpy()
+    order = np.argsort(rows, kind="stable")
+    rows, ends = rows[order], ends[order]
+    rows, ends = rows[ends > rows], ends[ends > rows]
+    return rows, ends, np.searchsorted(rows, ends + embargo, "right")
 
 
 def uniqueness(df: DataFrame, t1: str, valid: str, out: str, config: LabelConfig) -> DataFrame:
@@ -247,7 +295,7 @@ def label(bars: DataFrame, config: LabelConfig, check: bool = True) -> DataFrame
     rows = label_rows(prepared(bars, config), config)
     if config.purge:
         for t1, valid in (("t1_timeout_index", "is_valid_label_h"), ("t1_tb_index", "is_valid_label_tb")):
-            kept = purge(rows, t1, valid, config.purge_embargo, "_kept")
+            kept = purge(rows, t1, valid, config.purge_embargo, "_kept", reach=config.horizon)
             rows = rows.join(kept, ["series_id", "row_id"], "left").withColumn(valid, flag(F.col("_kept"))).drop("_kept")
     rows = uniqueness(rows, "t1_timeout_index", "is_valid_label_h", "_uniq_h", config)
     rows = uniqueness(rows, "t1_tb_index", "is_valid_label_tb", "_uniq_tb", config)

@@ -119,6 +119,21 @@ def test_id_files(spark, bits):
     assert idfiles.read_ids(idfiles.write_ids(frame(spark, []), SINGLE, P.PATTERN, C.fresh_path(spark, "ids"))).count() == 0
 
 
+def test_files_of_shared_ids(spark):
+    """A third of the rows without ids and a third under one id: files stay small, and documents ascend from file to file."""
+    rows = [*[(None, f"none {i}") for i in range(1000)], *[(50, f"same {i}") for i in range(1000)], *[(i, f"own {i}") for i in range(1000)], (50, None), (None, None)]
+    manifest = idfiles.write_ids(frame(spark, rows), SINGLE, P.PATTERN, C.fresh_path(spark, "ids"), file_docs=100)
+    files = manifest.orderBy("file_no").collect()
+    assert max(f.n_docs for f in files) <= 250 and len(files) >= 25 and sum(f.n_docs for f in files) == len(rows)
+    assert [f.path.rsplit("/", 1)[1] for f in files] == sorted(f.path.rsplit("/", 1)[1] for f in files)
+    got = sorted(idfiles.read_ids(manifest).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in got] == sorted((i for i, _ in rows), key=lambda i: (i is not None, i or 0))
+    assert [r.start for r in got] == [sum(r.n_tokens for r in got[:k]) for k in range(len(got))]
+    t = Tokenizer.from_file(SINGLE)
+    want = sorted((i is not None, i or 0, zlib.crc32(np.array([*t.encode(x or "", add_special_tokens=False).ids, 0], "<u4").tobytes())) for i, x in rows)
+    assert sorted((r.doc_id is not None, r.doc_id or 0, r.ids_crc32) for r in got) == want
+
+
 def test_added_tokens(spark, tmp_path):
     """The query gives the tokenizer's added tokens the ids that the library gives them."""
     from tickloom.llm import queries

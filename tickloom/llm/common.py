@@ -240,20 +240,40 @@ def open_fs(path: str):
     return fs.FileSystem.from_uri(path if "://" in path else "file://" + path.removeprefix("file:"))
 
 
-def id_cells(df: DataFrame, rows: int, splitters: int = 255, most: int = 65536) -> Column:
-    """A number that ascends with doc_id and that about so many rows share; -1 for null. At most `most` cells in all.
+#: Parts of a cell at most, where an id that many rows share is cut further.
+TIE_PARTS = 1 << 12
 
-    Quantiles of the ids give ranges of equal weight, each cut into cells of equal width. Reads the ids alone.
+
+def id_cells(df: DataFrame, rows: int, splitters: int = 255, most: int = 65536, ties: Column | None = None) -> Column:
+    """A number that ascends with doc_id and that about so many rows share; below 0 for null. At most `most` cells in all.
+
+    Quantiles of the ids give ranges of equal weight, each cut into cells of equal width. Reads the ids alone. ties: a hash, a long,
+    by which null ids, and ids that hold more than a range's weight, are cut into parts of about `rows` rows, at most TIE_PARTS of
+    them; cells then ascend with (doc_id, ties), null ids first. Without it, null ids are the cell -1 and no id is cut.
     """
     ids = df.select(F.col("doc_id").cast("long").alias("doc_id"))
     shares = [(i + 1) / (splitters + 1) for i in range(splitters)]
-    cuts, n, top = ids.agg(F.percentile_approx("doc_id", shares, 10000), F.count(F.lit(1)), F.max("doc_id")).first()
-    cuts = sorted(set(cuts or []))
+    found, n, top, known = ids.agg(F.percentile_approx("doc_id", shares, 10000), F.count(F.lit(1)), F.max("doc_id"), F.count("doc_id")).first()
+    found = found or []
+    cuts = sorted(set(found))
     fine = max(1, min(most // (splitters + 1), -(-n // (rows * (len(cuts) + 1)))))
     stride = max(1, (len(cuts) + 1) * rows // max(n, 1)) if fine == 1 else 1
-    cuts = cuts[stride - 1 :: stride]  # small inputs need fewer ranges
+    parts_of = lambda size: max(1, min(TIE_PARTS - 1, -(-size // rows)))
+    hot = {c: parts for c in cuts if ties is not None and (parts := parts_of(found.count(c) * known // (splitters + 1))) > 1}
+    cuts = sorted({*cuts[stride - 1 :: stride], *hot})  # small inputs need fewer ranges
     above = F.array(*[F.lit(int(c)).cast("long") for c in [*cuts, (top or 0) + 1]])
     at = F.size(F.filter(above, lambda c: c <= F.col("doc_id")))
     left = F.when(at > 0, F.try_element_at(above, F.greatest(at, F.lit(1))))
     part = F.floor((F.col("doc_id") - left) / F.greatest(F.try_element_at(above, at + 1) - left, F.lit(1)) * fine)
-    return F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(at * fine + F.coalesce(F.least(part, F.lit(fine - 1)), F.lit(0))).cast("long")
+    cell = at * fine + F.coalesce(F.least(part, F.lit(fine - 1)), F.lit(0))
+    if ties is None:
+        return F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(cell).cast("long")
+    # ties >> 12 has 52 bits, so the product below is exact enough to ascend and doesn't overflow
+    cut = lambda parts: F.floor((F.shiftright(ties, 12) + F.lit(1 << 51)) / F.lit(float(1 << 52)) * parts)
+    # an id that many rows share is the first of its cell; the cell's other ids come behind all its parts
+    behind = F.lit(TIE_PARTS - 1) if hot else F.lit(0)
+    sub = behind
+    for c, parts in hot.items():
+        sub = F.when(F.col("doc_id") == c, cut(parts)).otherwise(sub)
+    missing = cut(parts_of(n - known)) - TIE_PARTS
+    return F.when(F.col("doc_id").isNull(), missing).otherwise(cell * TIE_PARTS + sub).cast("long")

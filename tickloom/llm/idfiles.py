@@ -3,7 +3,8 @@
 A file is b"TLID", then the planes of all blocks one after the other, then the index, compressed: the documents' ids,
 their numbers of ids, and the blocks' offsets and plane sizes; then the index's size and the header's fields. Plane j of
 a block has byte j (or bit j) of all its ids. Files hold documents in ascending order of ids, null ids first, one file to a
-cell of ids, and the files' names ascend too. Null and empty texts have only the end id. Rows that repeat an id are rows
+cell of ids, and the files' names ascend too; rows without ids, and those of an id that many rows share, are cut into files by a
+hash of their texts. Null and empty texts have only the end id. Rows that repeat an id are rows
 of their own, in the order of a hash of their texts; other columns aren't read; an empty table gives no files and no rows.
 """
 
@@ -31,6 +32,8 @@ LEVEL = 1
 END = 0
 #: Documents to a file.
 FILE_DOCS = 4096
+#: Ranges of ids at most, a file each. The manifest's one window has a row per file.
+FILES = 1 << 20
 #: Bytes of chunks and of matches remembered, by a generation: the library is asked for what isn't.
 REMEMBERED = (160_000_000, 80_000_000)
 #: Texts that are Python objects at a time.
@@ -183,9 +186,9 @@ def write_ids(docs: DataFrame, path: str, pattern: str, out: str, bits: bool = F
     Texts are shuffled once, to the cell of their id. A task writes a file per cell, under a name of its own, and only files
     that the manifest names count, so a task that is lost or runs twice leaves no trace in the result.
     """
-    cell = C.id_cells(docs, file_docs)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), C.text_of().alias("text"))
-    rows = rows.select(cell.alias("cell"), "doc_id", "text").repartition("cell").sortWithinPartitions("cell", "doc_id", F.xxhash64("text"))
+    cell = C.id_cells(docs, file_docs, most=FILES, ties=F.col("mark"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), C.text_of().alias("text")).withColumn("mark", F.xxhash64("text"))
+    rows = rows.select(cell.alias("cell"), "doc_id", "text", "mark").repartition("cell").sortWithinPartitions("cell", "doc_id", "mark").drop("mark")
     end = np.array([END])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,7 +211,7 @@ def write_ids(docs: DataFrame, path: str, pattern: str, out: str, bits: bool = F
                     if writer is None or c != now:
                         if writer is not None:
                             yield closed()
-                        now, name = c, f"ids-{c + 1:012d}-{uuid.uuid4().hex}.tlid"
+                        now, name = c, f"ids-{c + C.TIE_PARTS:015d}-{uuid.uuid4().hex}.tlid"
                         stream = fs.open_output_stream(f"{folder}/{name}")
                         writer = Writer(stream, ids.dtype.itemsize, bits)
                     writer.add(doc_id, np.concatenate([ids, end.astype(ids.dtype)]))

@@ -266,6 +266,27 @@ def test_licenses_of_rows_without_ids(spark):
     assert got == sorted([(None, None, 0), (None, "Proprietary", 1), (4, None, 0), (4, "CC-BY-4.0", 1), (None, None, 0)], key=str)
 
 
+def test_wrapped_notices(spark):
+    """Windows of lines find a notice that is wrapped in a comment, and every hit is one of all units by brute force."""
+    notice = ["# Permission to use, copy, modify, and/or distribute this", "# software for any purpose with or without fee is hereby", "# granted.", "#"]
+    texts = ["\n".join([f"word{i} and more of it" for i in range(9)] + notice + ["code = 1"] * 5), "\n".join(notice[:3]), "a\nb", "x", "", None, "All rights\nreserved.", "All rights\nreserved.\nand plain text"]
+    docs = frame(spark, [(i, t, "s") for i, t in enumerate(texts)])
+
+    def grams(t):
+        w = re.sub("[^a-z0-9]+", " ", t.lower()).split()
+        return set(zip(w, w[1:]))
+
+    assert {r.doc_id for r in licenses.license_scan(docs).collect() if r.license} == {1, 6}
+    for window in (2, 3, 5):
+        got = {r.doc_id: r for r in licenses.license_scan(docs, window=window).collect()}
+        for i, t in enumerate(texts):
+            lines = (t or "").split("\n")
+            units = lines + [" ".join(lines[a : a + k]) for k in range(2, window + 1) for a in range(len(lines) - k + 1) if k < len(lines)] + ([t] if len(lines) > 1 else [])
+            scores = [max(2 * len(grams(u) & grams(x)) / max(1, len(grams(u)) + len(grams(x))) for _, x in licenses.TEMPLATES) for u in units]
+            assert got[i].n_units == sum(x >= 0.8 for x in scores) and (got[i].dice or 0) == pytest.approx(max([x for x in scores if x >= 0.8], default=0))
+    assert got[0].license == "ISC" and got[7].license == "Proprietary"
+
+
 def test_counts_within(spark):
     """Rows whose id is divisible by 100 are asked for; every other fingerprint within three bits counts once."""
     import random

@@ -1,6 +1,7 @@
 """License scans: lines and whole texts compared to licence templates by Dice's coefficient over word bigrams.
 
-A text is compared line by line and, if it has several lines, as a whole. Normalised: lower case, runs of anything but
+A text is compared line by line and, if it has several lines, as a whole. On request (`window`) every run of 2 to `window` lines
+is compared too, which finds notices that are wrapped, in comments for instance; the query doesn't ask for it. Normalised: lower case, runs of anything but
 a-z and 0-9 are one blank. Dice is 2 * common / (own + template's), over distinct bigrams. A template is a candidate only
 if its number of bigrams allows the threshold: min / max >= t / (2 - t). Null, empty and one-word texts match nothing;
 rows are found again by their id and a hash of their text, so rows that share an id, or have none, get what is in their own
@@ -65,8 +66,14 @@ def template_rows(templates=TEMPLATES) -> list[tuple[int, str, int, str]]:
     return out
 
 
-def compare(docs: DataFrame, threshold: float = THRESHOLD, templates=TEMPLATES) -> DataFrame:
-    """doc_id, key (of the text), unit (line from 1, 0: whole text), template, license, dice: all comparisons at or above the threshold.
+def _windows(lines: Column, k: int) -> Column:
+    """All runs of k lines, but for the one that is the whole text."""
+    starts = F.filter(F.sequence(F.lit(1), F.greatest(F.size(lines) - k + 1, F.lit(1))), lambda i: F.size(lines) > k)
+    return F.transform(starts, lambda i: F.concat_ws(" ", F.slice(lines, i, F.lit(k))))
+
+
+def compare(docs: DataFrame, threshold: float = THRESHOLD, templates=TEMPLATES, window: int = 1) -> DataFrame:
+    """doc_id, key (of the text), unit (line from 1, 0: whole text; after the lines, windows by length and first line), template, license, dice: all comparisons at or above the threshold.
 
     Templates are a constant table, so their broadcast has a fixed size. Units outside the sizes of all templates are
     dropped before their bigrams are dealt out; the rest meets only templates whose size bound holds and that share a
@@ -80,6 +87,8 @@ def compare(docs: DataFrame, threshold: float = THRESHOLD, templates=TEMPLATES)
     text = C.text_of()
     lines = F.split(text, "\n")
     units = F.when(F.size(lines) > 1, F.concat(F.array(text), lines)).otherwise(F.concat(F.array(F.lit("")), lines))
+    if window > 1:
+        units = F.concat(units, *[_windows(lines, k) for k in range(2, window + 1)])
     # n bigrams take over 2 n characters and n words; n distinct ones can't have over n + 1 distinct words
     words = F.transform(units, lambda u: F.when(F.length(u) > 2 * least, F.split(normalised(u), " ")))
     own = F.transform(words, lambda w: F.when((F.size(w) > least) & (F.size(F.array_distinct(w)) <= most + 1), bigrams(w)))
@@ -94,9 +103,9 @@ def compare(docs: DataFrame, threshold: float = THRESHOLD, templates=TEMPLATES)
     return scored.where(F.col("dice") >= threshold).select("doc_id", "key", "unit", "template", "license", "dice")
 
 
-def license_scan(docs: DataFrame, threshold: float = THRESHOLD, templates=TEMPLATES) -> DataFrame:
-    """doc_id, n_units (lines, or the whole text, that match), license, dice (of the best match, null if none), licenses (all, comma-joined): a row per document."""
-    hits = C.spool(compare(docs, threshold, templates), "licenses")
+def license_scan(docs: DataFrame, threshold: float = THRESHOLD, templates=TEMPLATES, window: int = 1) -> DataFrame:
+    """doc_id, n_units (lines, windows of them, or the whole text, that match), license, dice (of the best match, null if none), licenses (all, comma-joined): a row per document."""
+    hits = C.spool(compare(docs, threshold, templates, window), "licenses")
     best = F.max(F.struct("dice", (-F.col("template")).alias("neg"), "license")).alias("b")
     per = hits.groupBy("doc_id", "key").agg(F.count_distinct("unit").alias("n_units"), best, F.array_join(F.array_sort(F.collect_set("license")), ",").alias("licenses"))
     per = per.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), "n_units", F.col("b.license").alias("license"), F.col("b.dice").alias("dice"), "licenses")

@@ -262,13 +262,23 @@ def learn_words(rows: DataFrame, positives: int, negatives: int) -> tuple[dict[s
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
-    """Newton's method with a ridge on all but the constant."""
+    """Newton's method with a ridge on all but the constant, in units of each feature's deviation, so that a feature's scale doesn't
+    matter; a step that would make the fit worse is halved."""
+    spread = x.var(axis=0)
     x = np.hstack([np.ones((len(x), 1)), x])
-    w, penalty = np.zeros(x.shape[1]), np.diag([1e-6, *[ridge] * (x.shape[1] - 1)])
+    w, penalty = np.zeros(x.shape[1]), np.diag([1e-6, *np.maximum(ridge * spread, 1e-6)])
+
+    def loss(w):
+        z = x @ w
+        return np.logaddexp(0, z).sum() - y @ z + w @ penalty @ w / 2
+
     for _ in range(40):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         step = np.linalg.solve((x.T * (p * (1 - p))) @ x + penalty, x.T @ (y - p) - penalty @ w)
-        w += step
+        now = loss(w)
+        while np.abs(step).max() > 1e-8 and not loss(w + step) <= now + 1e-9:
+            step /= 2
+        w = w + step
         if np.abs(step).max() < 1e-8:
             break
     return w
